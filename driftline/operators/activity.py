@@ -90,7 +90,8 @@ def event_phase_counts(meta: DataFrame, events: DataFrame, margin: int = 90) ->
     """Revisions in the ``margin`` days before, during and after each event.
 
     ``events`` has ``event, start, stop`` (dates, both inclusive). Events are
-    laid out day by day and meet daily revision counts by equal date.
+    laid out day by day and meet daily revision counts by equal date. The counts
+    have one row per calendar day at most, so they are broadcast.
     """
     daily = meta.groupBy(F.to_date("timestamp").alias("day")).agg(F.count("*").alias("n"))
     span = F.sequence(F.date_sub("start", margin), F.date_add("stop", margin))
@@ -103,7 +104,7 @@ def event_phase_counts(meta: DataFrame, events: DataFrame, margin: int = 90) ->
         "event", "day", phase.alias("phase")
     )
     return (
-        days.join(daily, "day", "left")
+        days.join(F.broadcast(daily), "day", "left")
         .groupBy("event", "phase")
         .agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("revisions"),

@@ -7,7 +7,7 @@ and only (revision, number) pairs are shuffled. The text itself never is.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import text as tx
@@ -61,6 +61,21 @@ def revision_word_tally(
     )
 
 
+def register_sql(spark: SparkSession, lexicon: DataFrame) -> None:
+    """Offer ``count_uncommon_words(text)`` to SQL, over a view ``lexicon``.
+
+    Meant for ad-hoc questions on cleaned text: Spark joins on the text itself.
+    ``lexicon_misses`` is the way to score whole tables.
+    """
+    lexicon.select("word").createOrReplaceTempView("lexicon")
+    spark.sql(
+        r"""CREATE OR REPLACE TEMPORARY FUNCTION count_uncommon_words(t STRING) RETURNS INT
+        RETURN (SELECT CAST(count_if(l.word IS NULL) AS INT)
+                FROM explode(filter(split(t, '\\s+'), w -> w <> '')) AS x(word)
+                LEFT JOIN lexicon l ON l.word = x.word)"""
+    )
+
+
 def lexicon_misses(
     content: DataFrame, meta: DataFrame, lexicon: DataFrame, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:

@@ -21,13 +21,14 @@ SALTS = 64
 ROWS_PER_TASK = 2_000_000
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give every core a share of a scan that has fewer splits than cores.
 
-    On data with more splits than cores this returns ``df`` unchanged.
+    Rows are dealt out by a hash of ``keys``, which should be unique. On data
+    with at least as many splits as cores this returns ``df`` unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def measured_bytes(df: DataFrame) -> int:

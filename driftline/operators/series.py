@@ -141,6 +141,16 @@ def series_summary(series: DataFrame, ts: str, value: str) -> DataFrame:
     )
 
 
+def summary_text(summary: DataFrame) -> DataFrame:
+    """The summary written out: thousands separated, the month by name."""
+    return summary.select(
+        F.format_number("total", 0).alias("total"),
+        F.format_number("mean", 0).alias("mean"),
+        F.format_number("maximum", 0).alias("maximum"),
+        F.date_format("maximum_at", "MMMM yyyy").alias("maximum_at"),
+    )
+
+
 def top_rows(series: DataFrame, ts: str, value: str, n: int = 10) -> DataFrame:
     """The ``n`` largest values, earlier times first among equals."""
     return series.orderBy(F.desc(value), ts).limit(n)

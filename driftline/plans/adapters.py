@@ -17,7 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as texts, with a date spread over 2400 days from 1995 on."""
     day = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("doc_id") % 2400).cast("int"))
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
+    texts = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return spread(texts, "doc_id").select(
         "doc_id", F.col("source").alias("title"), day.alias("date"), "text"
     )
 
@@ -178,14 +179,14 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link targets in page markup."""
     from driftline.operators.traffic import extract_links
 
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
     return extract_links(pages, "page_id", "html", 'href="([^"]+)"')
 
 
 def turn_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftline.operators.perplexity import tokens_of
 
-    turns = table(spark, sf_dir, "conversations").select(
+    turns = spread(table(spark, sf_dir, "conversations"), "conv_id", "turn").select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
         .alias("doc"),
         "text",

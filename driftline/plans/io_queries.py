@@ -123,6 +123,29 @@ def lexicon_csv_roundtrip(spark, sf_dir):
     return lexicon.build_lexicon(landed.read_lexicon(spark, path))
 
 
+@query(
+    "sink_append_dedupe",
+    "SELECT o_orderkey AS id, count(*) AS copies, o_orderdate AS timestamp FROM orders "
+    "GROUP BY o_orderkey, o_orderdate",
+)
+def sink_append_dedupe(spark, sf_dir):
+    """Records appended twice, as after a repeated run, count once when read."""
+    path = scratch_path(spark, "append")
+    rows = _meta_records(spark, sf_dir)
+    sinks.append_json(rows, path)
+    saved = sinks.append_counted(rows, path)
+    once = revisions.metadata_times(landed.read_metadata(spark, path))
+    total = once.agg(F.count("*")).scalar()
+    return once.select("id", "timestamp", (F.lit(saved) / total).cast("long").alias("copies"))
+
+
+@query("title_list_roundtrip", "SELECT DISTINCT c_name AS title FROM customer")
+def title_list_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "titles")
+    sinks.write_lines(ad.table(spark, sf_dir, "customer"), "c_name", path)
+    return spark.read.text(path).select(F.col("value").alias("title")).distinct()
+
+
 # Payloads -------------------------------------------------------------------
 
 
@@ -198,6 +221,10 @@ def flatten_category_members(spark, sf_dir):
        CASE WHEN contains(url, '?') THEN 'No content available' ELSE html END AS text FROM pages""",
 )
 def flatten_map_payload(spark, sf_dir):
+    return landed.page_texts(_page_payloads(spark, sf_dir))
+
+
+def _page_payloads(spark, sf_dir):
     pages = ad.table(spark, sf_dir, "pages")
     slot = F.struct(F.struct(F.struct(F.col("html").alias("content")).alias("main")).alias("slots"))
     page = F.struct(
@@ -207,7 +234,38 @@ def flatten_map_payload(spark, sf_dir):
     body = F.struct(
         F.struct(F.create_map(F.col("page_id").cast("string"), page).alias("pages")).alias("query")
     )
-    return landed.page_texts(pages.select(F.to_json(body).alias("payload")))
+    return pages.select(F.to_json(body).alias("payload"))
+
+
+@query(
+    "page_summaries",
+    """SELECT url AS title, substring(CASE WHEN contains(url, '?') THEN 'No content available'
+                                      ELSE html END, 1, 500) AS summary FROM pages""",
+)
+def page_summaries(spark, sf_dir):
+    return landed.page_summaries(_page_payloads(spark, sf_dir))
+
+
+@query(
+    "flatten_revision_listing",
+    """SELECT CAST(conv_id AS VARCHAR) AS title, turn AS id, role AS user, '' AS comment,
+       text AS content, TIMESTAMP '2024-01-01' + to_days(CAST(turn AS INTEGER)) AS timestamp
+FROM conversations""",
+)
+def flatten_revision_listing(spark, sf_dir):
+    path = scratch_path(spark, "listing")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("turn").cast("int"))
+    entry = F.struct(
+        F.col("turn").alias("id"),
+        _iso(day).alias("timestamp"),
+        F.col("role").alias("user"),
+        F.col("text").alias("content"),
+    )
+    records = ad.table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("string").alias("title"), F.array(entry).alias("revisions")
+    )
+    sinks.write_json(records, path)
+    return landed.revision_listing(landed.read_json(spark, path, schemas.REVISION_LISTING))
 
 
 def _diff_payloads(spark, sf_dir):
@@ -254,7 +312,8 @@ def flatten_diff_rejected(spark, sf_dir):
 
 def _orders_stream(spark, sf_dir):
     schema = ad.table(spark, sf_dir, "orders").schema
-    return ingest.arriving(spark, f"{sf_dir}/orders.parquet", schema, "parquet")
+    # A pattern, so that the table may be one file or a folder of files.
+    return ingest.arriving(spark, f"{sf_dir}/orders*.parquet", schema, "parquet")
 
 
 @query("stream_ingest", "SELECT o_orderkey, o_orderdate FROM orders")
@@ -277,7 +336,7 @@ def stream_dedupe(spark, sf_dir):
 
 @query(
     "stream_windowed_counts",
-    """SELECT CAST(epoch(o_orderdate) // 2592000 * 2592000 AS BIGINT) AS start_second,
+    """SELECT CAST(floor(epoch(o_orderdate) / 2592000) * 2592000 AS BIGINT) AS start_second,
        count(*) AS n FROM orders GROUP BY 1""",
 )
 def stream_windowed_counts(spark, sf_dir):

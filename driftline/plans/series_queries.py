@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftline.functions import dates as dt
-from driftline.operators import activity, perplexity, revisions, sentences, series
+from driftline.operators import (
+    activity,
+    lexicon,
+    perplexity,
+    revisions,
+    sentences,
+    series,
+    traffic,
+)
 from driftline.plans import adapters as ad
 from driftline.plans.registry import query
 from driftline.plans.text_queries import (
     LINES,
     PUNCTUATED,
     SPACES,
+    TALLY,
     _sentence_words,
     _sentences,
 )
@@ -148,6 +157,95 @@ def series_summary(spark, sf_dir):
     return summary.withColumn("mean", F.round("mean", 6))
 
 
+@query(
+    "series_summary_text",
+    f"""WITH {MONTHS}
+SELECT format('{{:,}}', CAST(sum(revisions) AS BIGINT)) AS total,
+       format('{{:,}}', CAST(round_even(avg(revisions), 0) AS BIGINT)) AS mean,
+       format('{{:,}}', max(revisions)) AS maximum,
+       (SELECT strftime(month, '%B %Y') FROM months ORDER BY revisions DESC, month LIMIT 1)
+         AS maximum_at
+FROM months""",
+)
+def series_summary_text(spark, sf_dir):
+    summary = series.series_summary(ad.monthly(spark, sf_dir), "month", "revisions")
+    return series.summary_text(summary)
+
+
+def _growth(spark, sf_dir):
+    """Monthly misses as a dated series."""
+    growth = lexicon.uncommon_growth(
+        lexicon.lexicon_misses(
+            ad.content(spark, sf_dir), ad.metadata(spark, sf_dir), ad.lexicon(spark, sf_dir)
+        )
+    )
+    return growth.withColumn("date", dt.from_parts(F.col("year"), F.col("month")))
+
+
+GROWTH = f"""{TALLY},
+growth AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+                  CAST(sum(misses) AS BIGINT) AS total
+           FROM tally JOIN orders ON o_orderkey = doc_id GROUP BY 1)"""
+
+
+@query(
+    "growth_trend",
+    f"""WITH {GROWTH}
+SELECT date, total AS total_uncommon_words,
+       round(CASE WHEN count(*) OVER w = 3 THEN avg(total) OVER w END, 6) AS rolling_mean
+FROM growth WHERE year(date) >= 1996
+WINDOW w AS (ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
+)
+def growth_trend(spark, sf_dir):
+    recent = _growth(spark, sf_dir).where(F.col("year") >= 1996)
+    rolled = series.rolling_mean(recent, "total_uncommon_words", 3, [F.asc("date")])
+    return rolled.select(
+        "date", "total_uncommon_words", F.round("rolling_mean", 6).alias("rolling_mean")
+    )
+
+
+@query(
+    "growth_milestone",
+    f"""WITH {GROWTH}
+SELECT round_even(avg(total) FILTER (WHERE date < DATE '1998-01-01'), 2) AS mean_before,
+       round_even(avg(total) FILTER (WHERE date >= DATE '1998-01-01'), 2) AS mean_after,
+       count(*) FILTER (WHERE date < DATE '1998-01-01') AS rows_before,
+       count(*) FILTER (WHERE date >= DATE '1998-01-01') AS rows_after,
+       min(date) AS first_before, max(date) FILTER (WHERE date < DATE '1998-01-01') AS last_before,
+       min(date) FILTER (WHERE date >= DATE '1998-01-01') AS first_after, max(date) AS last_after
+FROM growth""",
+)
+def growth_milestone(spark, sf_dir):
+    return series.milestone_means(
+        _growth(spark, sf_dir), "date", "total_uncommon_words", "1998-01-01"
+    )
+
+
+@query(
+    "size_trend",
+    f"""WITH {LINES},
+d AS (SELECT date, sum(length(text)) AS s, count(DISTINCT to_id) AS c FROM lines GROUP BY date),
+a AS (SELECT min(date) + CAST((7 - dayofweek(min(date))) % 7 AS INTEGER) AS a0 FROM d),
+b AS (SELECT a0 + 21 * CAST(ceil((date - a0) / 21.0) AS INTEGER) AS label, sum(s) AS s, sum(c) AS c
+      FROM d, a GROUP BY 1),
+spine AS (SELECT CAST(unnest(generate_series(a0, (SELECT max(label) FROM b), INTERVAL 21 DAY))
+                      AS DATE) AS label FROM a),
+m AS (SELECT spine.label, s / nullif(c, 0) AS v FROM spine LEFT JOIN b ON b.label = spine.label
+      WHERE spine.label > DATE '1995-06-01')
+SELECT label, round(v, 6) AS mean,
+       round(CASE WHEN count(v) OVER w = 5 THEN avg(v) OVER w END, 6) AS rolling_mean
+FROM m WINDOW w AS (ORDER BY label ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
+)
+def size_trend(spark, sf_dir):
+    chars = revisions.revision_chars(ad.content(spark, sf_dir)).dropna()
+    means = series.resample_weeks(chars, "date", "text_length", 3)
+    recent = means.where(F.col("label") > F.lit("1995-06-01").cast("date"))
+    rolled = series.rolling_mean(recent, "mean", 5, [F.asc("label")])
+    return rolled.withColumns(
+        {"mean": F.round("mean", 6), "rolling_mean": F.round("rolling_mean", 6)}
+    )
+
+
 @query(
     "dft_spectrum",
     f"""WITH {SPECTRUM}
@@ -184,6 +282,36 @@ def dominant_period(spark, sf_dir):
     )
 
 
+@query(
+    "category_trend_period",
+    """WITH pts AS (SELECT strftime(o_orderdate, '%Y%m') AS month,
+                    sum(CAST(round(o_totalprice) AS BIGINT)) AS x
+             FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1),
+num AS (SELECT x, row_number() OVER (ORDER BY month) - 1 AS t, count(*) OVER () AS n FROM pts),
+s AS (SELECT k, n, sqrt(pow(sum(x * cos(2 * pi() * k * t / n)), 2) +
+                        pow(sum(x * sin(2 * pi() * k * t / n)), 2)) AS magnitude
+      FROM (SELECT *, unnest(generate_series(1, n // 2)) AS k FROM num) GROUP BY k, n)
+SELECT CAST(k AS INTEGER) AS k,
+       round(CASE WHEN 2 * k = n THEN -0.5 ELSE k / n END, 9) AS frequency,
+       round(magnitude, 2) AS magnitude,
+       round(CASE WHEN 2 * k = n THEN -2.0 ELSE n / k END, 6) AS period
+FROM s ORDER BY magnitude DESC, k LIMIT 1""",
+)
+def category_trend_period(spark, sf_dir):
+    views = traffic.views_by_category_period(
+        ad.members(spark, sf_dir), ad.order_views(spark, sf_dir)
+    )
+    combined = views.where(F.col("combined") == 1)
+    best = series.dominant_period(combined, [], "period", "views")
+    return best.withColumns(
+        {
+            "frequency": F.round("frequency", 9),
+            "magnitude": F.round("magnitude", 2),
+            "period": F.round("period", 6),
+        }
+    )
+
+
 # Editors --------------------------------------------------------------------
 
 

@@ -82,6 +82,11 @@ def complete_titles(listing: DataFrame) -> DataFrame:
     return listing.where(F.col("has_meta") & F.col("has_content")).select("title")
 
 
+def revision_ids(records: DataFrame) -> DataFrame:
+    """Distinct revision ids; a record that was landed twice counts once."""
+    return records.where(F.col("id").isNotNull()).select("id").distinct()
+
+
 def _parsed(payloads: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     return payloads.withColumn("_p", F.from_json(column, schema))
 

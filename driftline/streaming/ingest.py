@@ -16,6 +16,14 @@ def arriving(spark: SparkSession, path: str, schema: T.StructType, kind: str = "
     return spark.readStream.schema(schema).format(kind).load(path)
 
 
+def _instant(stream: DataFrame, ts: str) -> DataFrame:
+    """``ts`` as a point in time, as watermarks need; wall-clock times are UTC."""
+    column = F.col(ts)
+    if isinstance(stream.schema[ts].dataType, T.TimestampNTZType):
+        column = F.concat(column.cast("string"), F.lit("Z"))
+    return stream.withColumn(ts, column.cast("timestamp"))
+
+
 def land_new_files(stream: DataFrame, out: str, checkpoint: str) -> None:
     """Append what arrived to a table; a file already taken is not taken again."""
     query = (
@@ -32,7 +40,7 @@ def without_repeats(
     stream: DataFrame, key: str, ts: str, delay: str, out: str, checkpoint: str
 ) -> None:
     """Land rows whose ``key`` was not seen within ``delay``."""
-    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    timed = _instant(stream, ts).withWatermark(ts, delay)
     land_new_files(timed.dropDuplicatesWithinWatermark([key]), out, checkpoint)
 
 
@@ -45,7 +53,7 @@ def windowed_counts(
     released. Each run appends the windows it changed; ``latest_counts`` reads
     the last value of each.
     """
-    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    timed = _instant(stream, ts).withWatermark(ts, delay)
     counts = timed.groupBy(F.window(ts, window)).agg(F.count("*").alias("n"))
 
     def save(batch: DataFrame, batch_id: int) -> None:
