@@ -25,7 +25,7 @@ def from_parts(year: Column, month: Column) -> Column:
 
 def stamp_to_date(stamp: Column) -> Column:
     """``YYYYMMDD..`` text to a date, bad -> null."""
-    return F.try_to_date(F.substring(stamp, 1, 8), F.lit("yyyyMMdd"))
+    return F.try_to_date(F.substring(stamp, 1, 8), "yyyyMMdd")
 
 
 def numeric(text: Column, kind: str = "double") -> Column:

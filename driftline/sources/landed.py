@@ -19,6 +19,8 @@ from driftline.sources import schemas
 META_SUFFIX = "_revisions.json"
 CONTENT_SUFFIX = "_revision_content.json"
 NO_CONTENT = "No content available"
+# How CSV files tell null from empty text and escape quotes.
+CSV_FORM = {"nullValue": r"\N", "escape": '"'}
 
 
 def title_of(path: Column, suffix: str = META_SUFFIX) -> Column:
@@ -54,7 +56,8 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).csv(path, header=True)
+    """Files of ``write_csv``."""
+    return spark.read.schema(schema).options(**CSV_FORM).csv(path, header=True)
 
 
 def listed_titles(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from driftline.sources.landed import CSV_FORM
+
 
 def write_by(df: DataFrame, path: str, *columns: str, kind: str = "json") -> None:
     """One folder per value of ``columns``; only folders present are replaced.
@@ -32,8 +34,11 @@ def append_json(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; empty text stays apart from null."""
-    df.write.mode("overwrite").option("emptyValue", '""').csv(path, header=True)
+    """CSV with a header; empty text stays apart from null.
+
+    For columns without line breaks. Text goes to JSON, which stays splittable.
+    """
+    df.write.mode("overwrite").options(**CSV_FORM).csv(path, header=True)
 
 
 def write_lexicon(lexicon: DataFrame, path: str) -> None:
