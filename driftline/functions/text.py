@@ -13,15 +13,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters at which a white-space split without a separator cuts.
-ANY_SPACE = (
-    r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
-)
+ANY_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
 # Category markup in article text.
 CATEGORY_LINK = r"\[\[Category:([^\]|\n]+)"
 
 
 def _nonempty(pieces: Column) -> Column:
-    return F.filter(pieces, lambda piece: piece != "")
+    return F.array_remove(pieces, "")
 
 
 # "Any character that is not in the class" is written as a look-ahead: it matches

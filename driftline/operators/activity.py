@@ -115,7 +115,7 @@ def event_phase_counts(meta: DataFrame, events: DataFrame, margin: int = 90) ->
 
 
 def size_growth(
-    history: DataFrame, order: Sequence[Column], delta: str, rows_per_task: int = ROWS_PER_TASK
+    history: DataFrame, order: Sequence[Column], delta: str, rows_per_task: int | None = ROWS_PER_TASK
 ) -> DataFrame:
     """Running sum of size changes per title."""
     return running_total(history, ["title"], order, F.col(delta), "size_after", rows_per_task)
@@ -128,7 +128,7 @@ def reversals(
     size: str,
     within_days: int,
     large: int,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Marks rapid reversals and large edits.
 

@@ -7,6 +7,8 @@ and only (revision, number) pairs are shuffled. The text itself never is.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,53 +114,66 @@ def uncommon_growth(misses: DataFrame) -> DataFrame:
     )
 
 
-def word_counts(
-    content: DataFrame, meta: DataFrame | None = None, by: tuple[str, ...] = ()
-) -> DataFrame:
-    """Lower-cased white-space words with their counts, per ``by`` column set.
+def _tally_words(content: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by, word, count`` where the empty word has a row per revision.
 
     Counts equal those of splitting each revision's whole text. Inner words are
-    counted piece by piece; the empty word that a split yields at a text's blank
-    edge is counted per revision, from its first and last piece only.
+    counted piece by piece. The empty words that a split yields at the blank
+    edges of a text depend on its first and last piece only: each piece adds one
+    row without a word that carries its place and its edges, so the text is read
+    once and both kinds of row are counted before the one shuffle.
     """
-    if meta is not None:
-        content = with_known_ids(content, meta)
     text = F.col("text")
-    inner = (
-        content.select(*by, F.explode(tx.spaced_words(text)).alias("word"))
-        .where(F.col("word") != "")
-        .groupBy(*by, "word")
-        .agg(F.count("*").alias("count"))
-    )
     at_start = F.when((text == "") | text.rlike(r"\A\s"), 1).otherwise(0)
     at_end = F.when((text == "") | text.rlike(r"\s\z"), 1).otherwise(0)
-    present = text.isNotNull()
-    edges = content.groupBy(*by, revision_id().alias("id")).agg(
-        F.count("text").alias("pieces"),
-        F.max(F.when(text == "", 1).otherwise(0)).alias("blank"),
-        F.min_by(at_start, F.when(present, F.col("piece"))).alias("head"),
-        F.max_by(at_end, F.when(present, F.col("piece"))).alias("tail"),
+    twice = F.when(text.isNotNull(), F.col("piece").cast("long") * 2)
+    words = F.coalesce(F.array_remove(tx.spaced_words(text), ""), F.array().cast("array<string>"))
+    rows = content.select(
+        *by,
+        revision_id().alias("id"),
+        (twice + at_start).alias("head"),
+        (twice + at_end).alias("tail"),
+        F.when(text == "", 1).otherwise(0).alias("blank"),
+        F.explode(F.array_append(words, F.lit(None).cast("string"))).alias("word"),
+    )
+    edge = F.col("word").isNull()
+    tally = rows.groupBy(*by, "word", F.when(edge, F.col("id")).alias("id")).agg(
+        F.count("*").alias("n"),
+        F.count(F.when(edge, F.col("head"))).alias("pieces"),
+        F.min(F.when(edge, F.col("head"))).alias("head"),
+        F.max(F.when(edge, F.col("tail"))).alias("tail"),
+        F.max(F.when(edge, F.col("blank"))).alias("blank"),
     )
     one_empty = (F.col("pieces") == 0) | ((F.col("pieces") == 1) & (F.col("blank") == 1))
-    empty = F.when(one_empty, 1).otherwise(F.col("head") + F.col("tail"))
-    blanks = (
-        edges.groupBy(*by)
-        .agg(F.sum(empty.cast("long")).alias("count"))
+    empty = F.when(one_empty, 1).otherwise(F.col("head") % 2 + F.col("tail") % 2)
+    count = F.when(edge, empty).otherwise(F.col("n")).cast("long")
+    return tally.select(*by, F.coalesce("word", F.lit("")).alias("word"), count.alias("count"))
+
+
+def word_counts(content: DataFrame, meta: DataFrame | None = None) -> DataFrame:
+    """Lower-cased white-space words with their counts, over all texts."""
+    if meta is not None:
+        content = with_known_ids(content, meta)
+    return (
+        _tally_words(content, [])
+        .groupBy("word")
+        .agg(F.sum("count").alias("count"))
         .where(F.col("count") > 0)
-        .select(*by, F.lit("").alias("word"), "count")
     )
-    return inner.unionByName(blanks)
 
 
 def word_counts_by_title(content: DataFrame, meta: DataFrame | None = None) -> DataFrame:
-    """Word counts per title, and over all titles where ``title`` is null.
+    """Word counts per title, and over all titles where ``all_titles`` is 1.
 
-    The second grain is summed from the first, so the text is read once.
+    Both grains are summed from one tally, so the text is read once.
     """
-    per_title = word_counts(content, meta, by=("title",))
+    if meta is not None:
+        content = with_known_ids(content, meta)
     return (
-        per_title.groupingSets([["title", "word"], ["word"]], "title", "word")
+        _tally_words(content, ["title"])
+        .groupingSets([["title", "word"], ["word"]], "title", "word")
         .agg(F.sum("count").alias("count"), F.grouping("title").alias("all_titles"))
+        .where(F.col("count") > 0)
         .select("title", "word", "count", F.col("all_titles").cast("int"))
     )
 

@@ -73,18 +73,13 @@ def ngram_model(sequences: DataFrame) -> DataFrame:
     return _bigrams(sequences).groupBy("previous", "word").agg(F.count("*").alias("n"))
 
 
-def context_totals(model: DataFrame) -> DataFrame:
-    """How often each word was followed by another: ``previous, total``."""
-    return model.groupBy("previous").agg(F.sum("n").alias("total"))
-
-
-def vocabulary(model: DataFrame) -> DataFrame:
-    """Distinct words of the model."""
-    return (
-        model.select(F.col("previous").alias("word"))
-        .unionByName(model.select("word"))
-        .distinct()
+def word_totals(model: DataFrame) -> DataFrame:
+    """The vocabulary, and how often each word was followed by another."""
+    both = F.array(
+        F.struct(F.col("previous").alias("word"), F.col("n").alias("c")),
+        F.struct(F.col("word"), F.lit(0).cast("long").alias("c")),
     )
+    return model.select(F.inline(both)).groupBy("word").agg(F.sum("c").alias("total"))
 
 
 def window_losses(
@@ -94,14 +89,15 @@ def window_losses(
     max_length: int,
     stride: int,
     add: float = 1.0,
-    max_bytes: int = BROADCAST_BYTES,
+    max_bytes: int = BROADCAST_BYTES // 4,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """``key, window, scored, loss``: summed negative log-likelihood per window.
 
     The probability of a word after another is (n + add) / (total + add * V)
     with V distinct words in the model. Equal bigrams of one window are merged
-    before they meet the model. Pass a written or checkpointed model: it is read
-    for its counts, its totals and its vocabulary.
+    before they meet the model. Pass a written or checkpointed model, and its
+    ``word_totals`` if these are written too, as both are read several times.
     """
     _check(max_length, stride)
     position = F.col("position")
@@ -117,11 +113,12 @@ def window_losses(
         grouped, model, ["previous", "word"], "left", spread_by=[key, "window"],
         max_bytes=max_bytes,
     )
+    totals = word_totals(model) if totals is None else totals
     with_totals = lookup_join(
-        with_pairs, context_totals(model), ["previous"], "left",
+        with_pairs, totals.withColumnRenamed("word", "previous"), ["previous"], "left",
         spread_by=[key, "window", "word"], max_bytes=max_bytes,
     )
-    size = vocabulary(model).agg(F.count("*")).scalar()
+    size = totals.agg(F.count("*")).scalar()
     seen, base = F.coalesce("n", F.lit(0)), F.coalesce("total", F.lit(0))
     loss = F.log(base + F.lit(add) * size) - F.log(seen + F.lit(add))
     return with_totals.groupBy(key, "window").agg(

@@ -98,7 +98,7 @@ def _oldest_first() -> list[Column]:
     return [F.asc("timestamp"), F.asc("id")]
 
 
-def revision_pairs(meta: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def revision_pairs(meta: DataFrame, rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
     """Neighbours in the newest-first list of each title.
 
     ``from_id`` is the newer and ``to_id`` the older revision of the pair; the
@@ -113,7 +113,7 @@ def revision_pairs(meta: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataF
     )
 
 
-def revision_line_diff(history: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def revision_line_diff(history: DataFrame, rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
     """Lines added (+n) and removed (-n) by each revision after the first.
 
     ``history`` has ``title, id, timestamp, text``. Each line counts +1 for its

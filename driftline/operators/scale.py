@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.session import shared_dir
+from driftline.session import written
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 256
@@ -110,15 +110,23 @@ def largest_group(df: DataFrame, group: Sequence[str]) -> int:
     return counts.agg(F.max("n").alias("n")).first()["n"] or 0
 
 
+def _groups_fit(df: DataFrame, group: Sequence[str], rows_per_task: int | None) -> bool:
+    """Whether one task can hold any group.
+
+    ``rows_per_task`` None stands for a series with one row per day or month,
+    which fits by its nature and is not counted.
+    """
+    return rows_per_task is None or largest_group(df, group) <= rows_per_task
+
+
 def _segments(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Range-partition by (group, order) and fix the partition as ``_seg``.
 
     The written checkpoint makes segment numbers stable for all later readers,
     also when executors are lost.
     """
-    shared_dir(df.sparkSession)
     ranged = df.repartitionByRange(*[F.col(g) for g in group], *order)
-    return ranged.withColumn("_seg", F.spark_partition_id()).checkpoint()
+    return written(ranged.withColumn("_seg", F.spark_partition_id()))
 
 
 def _segmented_total(
@@ -157,14 +165,15 @@ def running_total(
     order: Sequence[Column],
     value: Column,
     out: str,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Running sum inside each group in a total order.
 
     Groups that fit one task use a window. If the largest does not, rows are
     range-partitioned and each segment adds the totals of the segments before.
+    The rows are counted first, so pass a written frame if they are costly.
     """
-    if largest_group(df, group) <= rows_per_task:
+    if _groups_fit(df, group, rows_per_task):
         w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value).over(w))
     return _segmented_total(df, group, order, value, out)
@@ -175,17 +184,18 @@ def in_blocks(
     group: Sequence[str],
     order: Sequence[Column],
     back: int,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> tuple[DataFrame, list[str]]:
     """Prepare a window that looks at most ``back`` rows backwards.
 
     Returns the frame and the columns to partition the window by. Over-long
     groups are cut into blocks by exact rank, and each block is preceded by
     copies of the last ``back`` rows of the block before, marked ``_copy``;
-    apply the window, then keep ``~_copy``.
+    apply the window, then keep ``~_copy``. The rows are counted first, so pass
+    a written frame if they are costly to derive.
     """
     group = list(group)
-    if largest_group(df, group) <= rows_per_task:
+    if _groups_fit(df, group, rows_per_task):
         plain = df.withColumn("_block", F.lit(0).cast("long")).withColumn("_copy", F.lit(False))
         return plain, [*group, "_block"]
     size = max(rows_per_task, back)
@@ -209,7 +219,7 @@ def look_back(
     order: Sequence[Column],
     back: int,
     columns: dict[str, Column],
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``columns``, each an expression evaluated over rows [-back, 0].
 

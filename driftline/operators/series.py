@@ -38,12 +38,13 @@ def rolling_mean(
     order: Sequence[Column],
     group: Sequence[str] = (),
     out: str = "rolling_mean",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Mean of the last ``n`` rows; null until ``n`` non-null values are there.
 
     ``order`` must be total. Works on raw rows as on series: long inputs are cut
-    into blocks that overlap by n-1 rows.
+    into blocks that overlap by n-1 rows. For a series with one row per day or
+    month pass ``rows_per_task=None``; for costly rows a written frame.
     """
     framed = look_back(
         rows,
@@ -65,25 +66,27 @@ def resample_weeks(
     rows stay in the result with a null mean. ``group, label, mean``.
     """
     group = list(group)
-    keys = [*group, "_all"]
     daily = (
         rows.where(F.col(date).isNotNull())
-        .groupBy(*group, F.lit(1).alias("_all"), F.to_date(date).alias("_d"))
+        .groupBy(*group, F.to_date(date).alias("_d"))
         .agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
     )
-    anchor = dt.first_sunday(F.min("_d"))
-    bounds = daily.groupBy(*keys).agg(anchor.alias("_a"), F.max("_d").alias("_last"))
-    step = F.expr(f"interval {7 * weeks} days")
-    last = dt.week_label(F.col("_last"), F.col("_a"), weeks)
-    spine = bounds.select(*keys, "_a", F.explode(F.sequence("_a", last, step)).alias("label"))
+    # One row per calendar day and group at most, so the window stays small.
+    first_day = F.min("_d").over(Window.partitionBy(*group))
     bins = (
-        daily.join(bounds.select(*keys, "_a"), keys)
-        .groupBy(*keys, dt.week_label(F.col("_d"), F.col("_a"), weeks).alias("label"))
+        daily.withColumn("_a", dt.first_sunday(first_day))
+        .groupBy(*group, dt.week_label(F.col("_d"), F.col("_a"), weeks).alias("label"))
         .agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
     )
-    return (
-        spine.join(bins, [*keys, "label"], "left")
-        .select(*group, "label", F.try_divide(F.col("_s").cast("double"), "_c").alias("mean"))
+    step = F.expr(f"interval {7 * weeks} days")
+    every = F.sequence(F.min("label"), F.max("label"), step)
+    spine = (
+        bins.groupBy(*group)
+        .agg(every.alias("_labels"))
+        .select(*group, F.explode("_labels").alias("label"))
+    )
+    return spine.join(bins, [*group, "label"], "left").select(
+        *group, "label", F.try_divide(F.col("_s").cast("double"), "_c").alias("mean")
     )
 
 

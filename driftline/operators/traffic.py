@@ -133,7 +133,7 @@ def second_hop(links: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def batch_titles(
-    titles: DataFrame, size: int = 50, sep: str = "|", rows_per_task: int = ROWS_PER_TASK
+    titles: DataFrame, size: int = 50, sep: str = "|", rows_per_task: int | None = ROWS_PER_TASK
 ) -> DataFrame:
     """Titles in order, ``size`` to a batch, joined with ``sep``."""
     ranked = running_total(

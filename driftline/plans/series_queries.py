@@ -24,7 +24,7 @@ from driftline.plans.text_queries import (
     _sentence_words,
     _sentences,
 )
-from driftline.session import shared_dir
+from driftline.session import written
 
 MONTHS = """months AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
   count(*) AS revisions FROM orders GROUP BY 1)"""
@@ -74,7 +74,7 @@ FROM stats WINDOW w AS (ORDER BY date, CAST(to_id AS BIGINT)
                         ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""",
 )
 def rolling_mean(spark, sf_dir):
-    stats = sentences.sentence_stats(ad.content(spark, sf_dir))
+    stats = written(sentences.sentence_stats(ad.content(spark, sf_dir)))
     order = [F.asc("date"), revisions.revision_id().asc()]
     rolled = series.rolling_mean(stats, "relative_variance", 30, order)
     return rolled.select("to_id", "date", F.round("rolling_mean", 6).alias("rolling_mean"))
@@ -88,7 +88,9 @@ SELECT month, revisions,
 FROM months WINDOW w AS (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 )
 def rolling_mean_monthly(spark, sf_dir):
-    rolled = series.rolling_mean(ad.monthly(spark, sf_dir), "revisions", 3, [F.asc("month")])
+    rolled = series.rolling_mean(
+        ad.monthly(spark, sf_dir), "revisions", 3, [F.asc("month")], rows_per_task=None
+    )
     return rolled.withColumn("rolling_mean", F.round("rolling_mean", 6))
 
 
@@ -198,7 +200,9 @@ WINDOW w AS (ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 )
 def growth_trend(spark, sf_dir):
     recent = _growth(spark, sf_dir).where(F.col("year") >= 1996)
-    rolled = series.rolling_mean(recent, "total_uncommon_words", 3, [F.asc("date")])
+    rolled = series.rolling_mean(
+        recent, "total_uncommon_words", 3, [F.asc("date")], rows_per_task=None
+    )
     return rolled.select(
         "date", "total_uncommon_words", F.round("rolling_mean", 6).alias("rolling_mean")
     )
@@ -240,7 +244,7 @@ def size_trend(spark, sf_dir):
     chars = revisions.revision_chars(ad.content(spark, sf_dir)).dropna()
     means = series.resample_weeks(chars, "date", "text_length", 3)
     recent = means.where(F.col("label") > F.lit("1995-06-01").cast("date"))
-    rolled = series.rolling_mean(recent, "mean", 5, [F.asc("label")])
+    rolled = series.rolling_mean(recent, "mean", 5, [F.asc("label")], rows_per_task=None)
     return rolled.withColumns(
         {"mean": F.round("mean", 6), "rolling_mean": F.round("rolling_mean", 6)}
     )
@@ -522,11 +526,11 @@ def ngram_model(spark, sf_dir):
 
 
 def _perplexity(spark, sf_dir, max_length, stride, weighted=False):
-    shared_dir(spark)
     # The fitted model is read several times, so it is written once.
-    model = _model(spark, sf_dir).checkpoint()
+    model = written(_model(spark, sf_dir))
+    totals = written(perplexity.word_totals(model))
     losses = perplexity.window_losses(
-        ad.turn_tokens(spark, sf_dir), model, "doc", max_length, stride
+        ad.turn_tokens(spark, sf_dir), model, "doc", max_length, stride, totals=totals
     )
     scored = perplexity.perplexity(losses, "doc", weighted)
     return scored.withColumn("perplexity", F.round("perplexity", 4))

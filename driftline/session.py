@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "driftline", master: str | None = None, **conf) -> SparkSession:
@@ -53,6 +53,12 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, its lineage cut."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; never reused, so nothing is deleted."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
