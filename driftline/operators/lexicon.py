@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import text as tx
@@ -32,6 +32,16 @@ def build_lexicon(*lists: DataFrame, letters: bool = True) -> DataFrame:
     return every.select(F.trim(word).alias("word")).where(F.col("word") != "").distinct()
 
 
+def _words(content: DataFrame, words: Column) -> DataFrame:
+    """``id, word`` for each of the words; text without any gives an empty word.
+
+    The id is worked out before the words are laid out, once per text.
+    """
+    laid = content.select(revision_id().alias("id"), words.alias("_w"))
+    word = F.coalesce("_word", F.lit("")).alias("word")
+    return laid.select("id", F.explode_outer("_w").alias("_word")).select("id", word)
+
+
 def _looked_up(
     words: DataFrame, lookup: DataFrame, key: str, max_bytes: int
 ) -> DataFrame:
@@ -52,9 +62,7 @@ def revision_word_tally(
     content: DataFrame, lexicon: DataFrame, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``id, misses, hits`` on cleaned words; revisions without words count 0."""
-    words = content.select(
-        revision_id().alias("id"), F.explode_outer(tx.clean_words(F.col("text"))).alias("word")
-    ).withColumn("word", F.coalesce("word", F.lit("")))
+    words = _words(content, tx.clean_words(F.col("text")))
     marked = _looked_up(words, lexicon.select("word", F.lit(1).alias("listed")), "id", max_bytes)
     real = F.col("word") != ""
     return marked.groupBy("id").agg(
@@ -92,9 +100,7 @@ def lexicon_hits(
     content: DataFrame, meta: DataFrame, lexicon: DataFrame, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``to_id, timestamp, common_word_count``: raw pieces found in the lexicon."""
-    words = content.select(
-        revision_id().alias("id"), F.explode_outer(tx.raw_words(F.col("text"))).alias("word")
-    ).withColumn("word", F.coalesce(F.lower("word"), F.lit("")))
+    words = _words(content, tx.raw_words(F.lower("text")))
     marked = _looked_up(words, lexicon.select("word", F.lit(1).alias("listed")), "id", max_bytes)
     hits = marked.groupBy("id").agg(
         F.sum(F.when(F.col("listed").isNotNull(), F.col("n")).otherwise(0)).alias("hits")
@@ -124,28 +130,31 @@ def _tally_words(content: DataFrame, by: Sequence[str]) -> DataFrame:
     once and both kinds of row are counted before the one shuffle.
     """
     text = F.col("text")
+    blank = F.when(text == "", 2).otherwise(0)
     at_start = F.when((text == "") | text.rlike(r"\A\s"), 1).otherwise(0)
     at_end = F.when((text == "") | text.rlike(r"\s\z"), 1).otherwise(0)
-    twice = F.when(text.isNotNull(), F.col("piece").cast("long") * 2)
+    # One number orders pieces and tells if the piece is empty and has a blank edge.
+    place = F.when(text.isNotNull(), F.col("piece").cast("long") * 4)
     words = F.coalesce(F.array_remove(tx.spaced_words(text), ""), F.array().cast("array<string>"))
-    rows = content.select(
+    pieces = content.select(
         *by,
         revision_id().alias("id"),
-        (twice + at_start).alias("head"),
-        (twice + at_end).alias("tail"),
-        F.when(text == "", 1).otherwise(0).alias("blank"),
-        F.explode(F.array_append(words, F.lit(None).cast("string"))).alias("word"),
+        (place + blank + at_start).alias("head"),
+        (place + blank + at_end).alias("tail"),
+        F.array_append(words, F.lit(None).cast("string")).alias("_w"),
     )
+    # A second select, so that the edges are looked at once per piece, not per word.
+    rows = pieces.select(*by, "id", "head", "tail", F.explode("_w").alias("word"))
     edge = F.col("word").isNull()
     tally = rows.groupBy(*by, "word", F.when(edge, F.col("id")).alias("id")).agg(
-        F.count("*").alias("n"),
-        F.count(F.when(edge, F.col("head"))).alias("pieces"),
-        F.min(F.when(edge, F.col("head"))).alias("head"),
-        F.max(F.when(edge, F.col("tail"))).alias("tail"),
-        F.max(F.when(edge, F.col("blank"))).alias("blank"),
+        F.count("*").alias("n"), F.min("head").alias("head"), F.max("tail").alias("tail")
+    )
+    one_piece = F.shiftright("head", 2) == F.shiftright("tail", 2)
+    is_blank = F.col("head").bitwiseAND(F.lit(2)) == 2
+    empty = (
+        F.when(F.col("head").isNull() | (one_piece & is_blank), 1)
+        .otherwise(F.col("head") % 2 + F.col("tail") % 2)
     )
-    one_empty = (F.col("pieces") == 0) | ((F.col("pieces") == 1) & (F.col("blank") == 1))
-    empty = F.when(one_empty, 1).otherwise(F.col("head") % 2 + F.col("tail") % 2)
     count = F.when(edge, empty).otherwise(F.col("n")).cast("long")
     return tally.select(*by, F.coalesce("word", F.lit("")).alias("word"), count.alias("count"))
 
@@ -189,7 +198,9 @@ def max_hit_revision(content: DataFrame, hits: DataFrame, preview: int = 100) ->
     best = hits.orderBy(F.desc("common_word_count"), "to_id").limit(1)
     ids = best.select(F.col("to_id").alias("id"))
     texts = assemble(
-        content.withColumn("id", revision_id()).join(F.broadcast(ids), "id", "left_semi"), ["id"]
+        content.withColumn("id", revision_id()).join(F.broadcast(ids), "id", "left_semi"),
+        ["id"],
+        chunked=True,
     )
     return texts.join(F.broadcast(best), texts["id"] == best["to_id"]).select(
         "to_id",
@@ -207,9 +218,7 @@ def uncommonness(
 
     Words without a frequency get DEFAULT_FREQUENCY; no words give null.
     """
-    words = content.select(
-        revision_id().alias("id"), F.explode_outer(tx.unicode_words(F.col("text"))).alias("word")
-    ).withColumn("word", F.coalesce("word", F.lit("")))
+    words = _words(content, tx.unicode_words(F.col("text")))
     known = _looked_up(words, frequencies.select("word", "freq"), "id", max_bytes)
     real = F.col("word") != ""
     weight = F.col("n") / F.coalesce("freq", F.lit(DEFAULT_FREQUENCY))
@@ -230,9 +239,7 @@ def lexicon_score(
 
     ``id, total_weight, words, score``; ``score`` is null without words.
     """
-    words = content.select(
-        revision_id().alias("id"), F.explode_outer(tx.unicode_words(F.col("text"))).alias("word")
-    ).withColumn("word", F.coalesce("word", F.lit("")))
+    words = _words(content, tx.unicode_words(F.col("text")))
     known = _looked_up(words, weights.select("word", "weight"), "id", max_bytes)
     real = F.col("word") != ""
     return (

@@ -38,21 +38,22 @@ def sliding_chunks(
     """
     _check(max_length, stride)
     n = F.size("tokens")
-    total = _window_total(n, max_length, stride)
-    numbered = sequences.where(n > 0).select(
-        key, "tokens", F.explode(F.sequence(F.lit(0), total - 1)).alias("window")
-    )
-    begin = F.col("window") * F.lit(stride)
-    end = F.least(begin + max_length, n)
-    previous_end = F.when(F.col("window") == 0, 0).otherwise(begin - stride + max_length)
-    return numbered.select(
-        key,
-        "window",
-        begin.alias("begin"),
-        end.alias("end"),
-        (end - previous_end).alias("target_length"),
-        F.slice("tokens", begin + 1, end - begin).alias("tokens"),
-    )
+
+    def cut(window: Column) -> Column:
+        begin = window * F.lit(stride)
+        end = F.least(begin + max_length, n)
+        previous_end = F.when(window == 0, 0).otherwise(begin - stride + max_length)
+        return F.struct(
+            window.alias("window"),
+            begin.alias("begin"),
+            end.alias("end"),
+            (end - previous_end).alias("target_length"),
+            F.slice("tokens", begin + 1, end - begin).alias("tokens"),
+        )
+
+    # Cut before laying out, so that no row carries the whole sequence.
+    places = F.sequence(F.lit(0), _window_total(n, max_length, stride) - 1)
+    return sequences.where(n > 0).select(key, F.inline(F.transform(places, cut)))
 
 
 def _bigrams(sequences: DataFrame, *keep: str) -> DataFrame:

@@ -14,7 +14,7 @@ from driftline.operators.scale import (
     skew_join,
 )
 
-PIECES_PER_CHUNK = 4096
+PIECES_PER_CHUNK = 65536
 
 
 def revision_id(name: str = "to_id") -> Column:
@@ -31,7 +31,8 @@ def metadata_times(meta: DataFrame) -> DataFrame:
 
 def with_known_ids(content: DataFrame, meta: DataFrame) -> DataFrame:
     """Content rows of revisions that have metadata."""
-    ids = meta.select(F.col("id").alias("_id")).where(F.col("_id").isNotNull()).distinct()
+    # Repeated ids do no harm here, so the size check needs no shuffle.
+    ids = meta.select(F.col("id").alias("_id")).where(F.col("_id").isNotNull())
     keyed = content.withColumn("_id", revision_id())
     return lookup_join(keyed, ids, ["_id"], "left_semi", spread_by=["piece"]).drop("_id")
 
@@ -45,21 +46,23 @@ def revision_content(
     return skew_join(keyed, metadata_times(meta), ["id"], "inner", spread_by=["piece"], **extra)
 
 
-def assemble(pieces: DataFrame, keys: Sequence[str]) -> DataFrame:
+def assemble(pieces: DataFrame, keys: Sequence[str], chunked: bool | None = None) -> DataFrame:
     """``keys, full_text``: pieces in ``piece`` order, joined with a space.
 
-    Joined in chunks first, so that a revision of very many pieces is put
-    together by many tasks and only finished chunks meet.
+    Where a revision has very many pieces these are joined in chunks first, by
+    many tasks, and only finished chunks meet. That moves the text twice, so it
+    is done only if the highest piece number calls for it; ``chunked`` decides
+    without looking. The text itself is one value and has to fit a row.
     """
-    chunk = F.floor(F.col("piece") / F.lit(PIECES_PER_CHUNK)).alias("_chunk")
-    parts = pieces.groupBy(*keys, chunk).agg(
-        F.expr("listagg(text, ' ') within group (order by piece)").alias("_part")
-    )
-    return (
-        parts.groupBy(*keys)
-        .agg(F.expr("listagg(_part, ' ') within group (order by _chunk)").alias("full_text"))
-        .withColumn("full_text", F.coalesce("full_text", F.lit("")))
-    )
+    if chunked is None:
+        highest = pieces.agg(F.max("piece").alias("p")).first()["p"]
+        chunked = (highest or 0) >= PIECES_PER_CHUNK
+    joined = F.expr("listagg(text, ' ') within group (order by piece)")
+    if chunked:
+        chunk = F.floor(F.col("piece") / F.lit(PIECES_PER_CHUNK)).cast("long")
+        parts = pieces.groupBy(*keys, chunk.alias("_chunk")).agg(joined.alias("text"))
+        pieces = parts.withColumnRenamed("_chunk", "piece")
+    return pieces.groupBy(*keys).agg(F.coalesce(joined, F.lit("")).alias("full_text"))
 
 
 def revision_text(content: DataFrame, meta: DataFrame) -> DataFrame:
@@ -140,11 +143,12 @@ def revision_line_diff(history: DataFrame, rows_per_task: int | None = ROWS_PER_
         F.col("next_id").isNotNull(),
         F.struct(F.col("id").alias("f"), F.col("next_id").alias("t"), F.lit(-1).alias("d")),
     )
-    lines = linked.select(
-        "title",
-        F.filter(F.array(own, gone), lambda s: s.isNotNull()).alias("sides"),
-        F.explode(F.split("text", "\n")).alias("line"),
-    ).select("title", "line", F.inline("sides"))
+    sides = F.filter(F.array(own, gone), lambda s: s.isNotNull())
+    lines = (
+        linked.select("title", sides.alias("sides"), F.split("text", "\n").alias("_l"))
+        .select("title", "sides", F.explode("_l").alias("line"))
+        .select("title", "line", F.inline("sides"))
+    )
     return (
         lines.groupBy("title", F.col("f").alias("from_id"), F.col("t").alias("to_id"), "line")
         .agg(F.sum("d").alias("change"))

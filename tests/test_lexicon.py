@@ -163,5 +163,6 @@ def test_assemble_in_chunks(spark, monkeypatch):
     df = spark.createDataFrame(pieces, "id long, piece int, text string").repartition(4)
     whole = " ".join(f"p{i}" for i in range(30))
     monkeypatch.setattr(revisions, "PIECES_PER_CHUNK", 4)
-    got = {r["id"]: r["full_text"] for r in revisions.assemble(df, ["id"]).collect()}
-    assert got == {1: whole, 2: ""}
+    for chunked in (None, True, False):
+        got = {r["id"]: r["full_text"] for r in revisions.assemble(df, ["id"], chunked).collect()}
+        assert got == {1: whole, 2: ""}
