@@ -13,6 +13,7 @@ def sentence_stats(content: DataFrame, drop_wordless: bool = False) -> DataFrame
 
     One row per ``(to_id, date)``. A text that ends in a full stop and a space
     has a last sentence without words, which counts unless ``drop_wordless``.
+    Computed from whole-number sums, so the order of rows cannot change a digit.
     """
     cleaned = content.select("to_id", "date", tx.punctuated(F.col("text")).alias("text")).where(
         F.col("text") != ""
@@ -22,13 +23,20 @@ def sentence_stats(content: DataFrame, drop_wordless: bool = False) -> DataFrame
     )
     if drop_wordless:
         lengths = lengths.where(F.col("word_count") > 0)
-    return (
-        lengths.groupBy("to_id", "date")
-        .agg(
-            F.avg("word_count").alias("avg_word_count"),
-            F.variance("word_count").alias("variance"),
-        )
-        .withColumn("relative_variance", F.try_divide("variance", "avg_word_count"))
+    count = F.col("word_count").cast("long")
+    sums = lengths.groupBy("to_id", "date").agg(
+        F.count("*").cast("decimal(19,0)").alias("n"),
+        F.sum(count).cast("decimal(19,0)").alias("s"),
+        F.sum(count * count).cast("decimal(19,0)").alias("q"),
+    )
+    n, s, one = F.col("n"), F.col("s"), F.lit(1).cast("decimal(1,0)")
+    spread = (n * F.col("q") - s * s).cast("double")
+    return sums.select(
+        "to_id",
+        "date",
+        (s.cast("double") / n.cast("double")).alias("avg_word_count"),
+        F.try_divide(spread, (n * (n - one)).cast("double")).alias("variance"),
+        F.try_divide(spread, ((n - one) * s).cast("double")).alias("relative_variance"),
     )
 
 

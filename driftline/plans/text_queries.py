@@ -267,10 +267,13 @@ def valid_sentence_filter(spark, sf_dir):
     f"""WITH {LINES},
 cleaned AS (SELECT to_id, date, {PUNCTUATED} AS text FROM lines),
 cut AS (SELECT to_id, date, unnest({_sentences('text')}) AS s FROM cleaned WHERE text <> ''),
-counts AS (SELECT to_id, date, {_sentence_words('s')} AS n FROM cut)
-SELECT to_id, date, round(avg(n), 6) AS avg_word_count, round(var_samp(n), 6) AS variance,
-       round(var_samp(n) / nullif(avg(n), 0), 6) AS relative_variance
-FROM counts GROUP BY to_id, date""",
+counts AS (SELECT to_id, date, {_sentence_words('s')} AS n FROM cut),
+sums AS (SELECT to_id, date, count(*) AS c, sum(n) AS s, sum(n * n) AS q
+         FROM counts GROUP BY to_id, date)
+SELECT to_id, date, round(s / c, 6) AS avg_word_count,
+       round(CAST(c * q - s * s AS DOUBLE) / nullif(c * (c - 1), 0), 6) AS variance,
+       round(CAST(c * q - s * s AS DOUBLE) / nullif((c - 1) * s, 0), 6) AS relative_variance
+FROM sums""",
 )
 def sentence_stats(spark, sf_dir):
     stats = sentences.sentence_stats(ad.content(spark, sf_dir))
