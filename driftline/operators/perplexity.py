@@ -90,7 +90,7 @@ def window_losses(
     max_length: int,
     stride: int,
     add: float = 1.0,
-    max_bytes: int = BROADCAST_BYTES // 4,
+    max_bytes: int = BROADCAST_BYTES,
     totals: DataFrame | None = None,
 ) -> DataFrame:
     """``key, window, scored, loss``: summed negative log-likelihood per window.
@@ -117,7 +117,7 @@ def window_losses(
     totals = word_totals(model) if totals is None else totals
     with_totals = lookup_join(
         with_pairs, totals.withColumnRenamed("word", "previous"), ["previous"], "left",
-        spread_by=[key, "window", "word"], max_bytes=max_bytes,
+        spread_by=[key, "window", "word"], max_bytes=max_bytes, count_from=grouped,
     )
     size = totals.agg(F.count("*")).scalar()
     seen, base = F.coalesce("n", F.lit(0)), F.coalesce("total", F.lit(0))

@@ -54,6 +54,7 @@ def skew_join(
     spread_by: Sequence[str],
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join whose hot left keys are split over ``salts`` tasks.
 
@@ -62,10 +63,13 @@ def skew_join(
     found, and the hot list is broadcast because it cannot exceed HOT_KEYS rows.
     ``spread_by`` names left columns that tell the rows of one key apart; the
     salt is a hash of them, so a re-run task routes its rows the same way.
+    Keys are counted on ``count_from`` where that has the same keys as ``left``
+    and is cheaper to compute.
     """
     on = list(on)
     hot = (
-        left.groupBy(*on)
+        (left if count_from is None else count_from)
+        .groupBy(*on)
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") >= hot_rows)
         .orderBy(F.desc("_n"), *on)
@@ -86,7 +90,9 @@ def skew_join(
         )
         .drop("_hot")
     )
-    return salted.join(copied, [*on, "_salt"], how).drop("_salt")
+    # A size estimate does not know how far texts were laid out into words, so the
+    # planner is not left to broadcast this side on an estimate.
+    return salted.join(copied.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
@@ -96,12 +102,13 @@ def lookup_join(
     how: str,
     spread_by: Sequence[str],
     max_bytes: int = BROADCAST_BYTES,
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a dictionary-like table: broadcast if its measured size allows."""
     on = list(on)
     if fits_broadcast(lookup, max_bytes):
         return left.join(F.broadcast(lookup), on, how)
-    return skew_join(left, lookup, on, how, spread_by)
+    return skew_join(left, lookup, on, how, spread_by, count_from=count_from)
 
 
 def largest_group(df: DataFrame, group: Sequence[str]) -> int:
