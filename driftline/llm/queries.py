@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import block_naming, url_trie, warc
+from driftline.llm import block_naming, bpe_codec, golay, packing, url_trie, warc
 from driftline.llm.common import stored, table
 from driftline.session import scratch_path
 
@@ -140,3 +141,23 @@ def op7_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_golay_simhash")
+def op5_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = golay.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=3)
+    return groups.select("doc_id", golay.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op8_bpe_two_tier")
+def op8_bpe_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe_codec.round_trip_digests(
+        table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN
+    )
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary)
