@@ -8,8 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import block_naming, bpe_codec, golay, packing, url_trie, warc
-from driftline.llm.common import stored, table
+from driftline.llm import (
+    block_naming,
+    bpe_codec,
+    class_lm,
+    golay,
+    lang_mixture,
+    packing,
+    prefix_forest,
+    tool_calls,
+    url_trie,
+    warc,
+)
+from driftline.llm.common import crc32_of_id, stored, table
 from driftline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +37,141 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_lang_mixture")
+def op1_lang_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc32_of_id(F.col("doc_id")) % 3 == 1
+    model = lang_mixture.train(docs.where(~held_out))
+    judged = docs.select(
+        "doc_id", held_out.alias("held_out"), lang_mixture.predicted(docs, model).alias("p")
+    )
+    return judged.select("doc_id", "held_out", "p.*")
+
+
+@query("op2_prefix_forest")
+def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5
+    )
+
+
+TOOLS = (
+    tool_calls.Parameter("search", "query", "string", True),
+    tool_calls.Parameter("search", "limit", "integer", True),
+    tool_calls.Parameter("translate", "text", "string", True),
+    tool_calls.Parameter("translate", "target", "string", True),
+    tool_calls.Parameter("measure", "text", "string", True),
+    tool_calls.Parameter("measure", "length", "number", False),
+    tool_calls.Parameter("measure", "strict", "boolean", False),
+)
+
+
+def _tool_chat(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results as the turns imply them.
+
+    Every assistant turn is a call about its whole text, and the user turn after
+    it is the result. Calls depend on the call at half their turn. The tool and
+    the arguments follow from the turn, some against the tool's schema.
+    """
+    text, turn = F.coalesce("text", F.lit("")), F.col("turn")
+    call_id = lambda t: F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), t)
+    name = F.element_at(
+        F.array(*map(F.lit, ("search", "translate", "measure", "archive"))),
+        (F.floor(turn / 2) % 4 + 1).cast("int"),
+    )
+    arguments = (
+        F.when(F.col("name") == "search", F.to_json(F.struct(
+            text.alias("query"), F.length(text).alias("limit"))))
+        .when((F.col("name") == "translate") & text.contains("\n"), F.to_json(F.struct(
+            text.alias("text"), F.lit("en").alias("target"))))
+        .when(F.col("name") == "translate", F.to_json(F.struct(
+            text.alias("text"), F.lit("en").alias("language"))))
+        .otherwise(F.to_json(F.struct(
+            text.alias("text"), (F.length(text) > 500).alias("strict"),
+            F.length(text).cast("string").alias("length"))))
+    )
+    calls = (
+        conversations.where("role = 'assistant'")
+        .withColumn("name", name)
+        .select(
+            "conv_id",
+            call_id(turn).alias("call_id"),
+            "turn",
+            "name",
+            arguments.alias("arguments"),
+            F.when(turn > 1, F.array(call_id(F.floor(turn / 2))))
+            .otherwise(F.array().cast("array<string>"))
+            .alias("after"),
+        )
+    )
+    results = conversations.where("role = 'user' AND turn > 0").select(
+        "conv_id", call_id(turn - 1).alias("call_id"), "turn", text.alias("content")
+    )
+    return calls, results
+
+
+@query(
+    "op3_tool_calls",
+    r"""
+    WITH RECURSIVE calls AS (
+        SELECT conv_id, 'call-' || conv_id || '-' || turn AS call_id, turn, coalesce(text, '') AS t,
+               ['search', 'translate', 'measure', 'archive'][1 + (turn // 2) % 4] AS name
+        FROM conversations WHERE role = 'assistant'
+    ), results AS (
+        SELECT conv_id, 'call-' || conv_id || '-' || (turn - 1) AS call_id, turn AS result_turn,
+               coalesce(text, '') AS result
+        FROM conversations WHERE role = 'user' AND turn > 0
+    ), chained AS (
+        SELECT c.conv_id, c.turn, 0 AS level FROM calls c
+        WHERE c.turn <= 1 OR NOT EXISTS (
+            SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn // 2)
+        UNION ALL
+        SELECT c.conv_id, c.turn, h.level + 1 FROM chained h JOIN calls c
+        ON c.conv_id = h.conv_id AND c.turn // 2 = h.turn AND c.turn > 1
+    ), made AS (
+        SELECT *, CASE
+            WHEN name = 'search' THEN
+                json_object('limit', length(t), 'query', t)
+            WHEN name = 'translate' AND contains(t, chr(10)) THEN
+                json_object('target', 'en', 'text', t)
+            WHEN name = 'translate' THEN json_object('language', 'en', 'text', t)
+            ELSE json_object('length', length(t)::VARCHAR, 'strict', length(t) > 500, 'text', t)
+        END AS arguments, CASE
+            WHEN name = 'archive' THEN ['unknown tool']
+            WHEN name = 'measure' THEN ['wrong type length']
+            WHEN name = 'translate' AND NOT contains(t, chr(10)) THEN
+                ['missing target', 'unexpected language']
+            ELSE [] END AS argued
+        FROM calls
+    ), linked AS (
+        SELECT coalesce(m.conv_id, r.conv_id) AS conv_id, coalesce(m.call_id, r.call_id) AS call_id,
+               m.name, m.turn, r.result_turn, h.level, m.name IS NOT NULL AND m.argued = [] AS valid,
+               list_concat(coalesce(m.argued, []), list_filter([
+                   CASE WHEN m.name IS NULL THEN 'result without call' END,
+                   CASE WHEN m.name IS NOT NULL AND r.call_id IS NULL THEN 'no result' END,
+                   CASE WHEN m.turn > 1 AND NOT EXISTS (
+                       SELECT 1 FROM calls p
+                       WHERE p.conv_id = m.conv_id AND p.turn = m.turn // 2
+                   ) THEN 'unknown dependency' END], lambda x: x IS NOT NULL)) AS problems,
+               CAST(json_object('arguments', m.arguments,
+                    'call_id', coalesce(m.call_id, r.call_id),
+                    'name', m.name, 'result', r.result) AS VARCHAR) AS message
+        FROM made m FULL OUTER JOIN results r ON m.conv_id = r.conv_id AND m.call_id = r.call_id
+        LEFT JOIN chained h ON h.conv_id = m.conv_id AND h.turn = m.turn
+    )
+    SELECT conv_id, call_id, name, turn, result_turn, level, row_number() OVER (
+               PARTITION BY conv_id
+               ORDER BY level NULLS LAST, coalesce(turn, result_turn), call_id) AS position,
+           valid, array_to_string(problems, '; ') AS problems, message
+    FROM linked
+    """,
+)
+def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = _tool_chat(table(spark, sf_dir, "conversations"))
+    linked = tool_calls.link(calls, results, TOOLS)
+    return linked.withColumn("problems", F.array_join("problems", "; "))
+
+
 @query(
     "op4_warc_segments",
     r"""
@@ -83,6 +229,15 @@ def op4_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_class_lm")
+def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc32_of_id(F.col("doc_id")) % 7 == 2
+    model, vocabulary = class_lm.train(docs.where(~held_out))
+    scored = class_lm.score(docs, model, vocabulary)
+    return scored.withColumn("held_out", held_out)
+
+
 URL_RULES = (
     url_trie.Rule("block", "net", "/"),
     url_trie.Rule("allow", "example.net", "/en/"),
