@@ -117,20 +117,34 @@ def _spans(ends, first, words, width):
     return begin, ends[np.minimum(first + width - 1, words - 1)] - begin
 
 
+class _Shingles:
+    """The shingles of a batch of texts, hashed slice by slice."""
+
+    def __init__(self, texts: list[bytes], width: int):
+        self.data, self.ends, self.upto = _words(texts)
+        self.begin = np.concatenate([[0], self.upto[:-1]])
+        words = self.upto - self.begin
+        self.count = np.where(words >= width, words - width + 1, np.minimum(words, 1))
+        self.width = width
+
+    def __iter__(self):
+        """The text of each shingle of a slice, and its hash."""
+        total = np.cumsum(self.count)
+        last = int(total[-1]) if len(total) else 0
+        for low in range(0, last, SLICE):
+            number = np.arange(low, min(low + SLICE, last))
+            text = np.searchsorted(total, number, side="right")
+            first = self.begin[text] + number - (total - self.count)[text]
+            at, size = _spans(self.ends, first, self.upto[text], self.width)
+            yield text, xxh64(self.data, at, size)
+
+
 def _batch(texts: list[bytes], width: int) -> np.ndarray:
-    data, ends, upto = _words(texts)
     counts = np.zeros((len(texts), 64), np.int64)
-    begin = np.concatenate([[0], upto[:-1]])
-    words = upto - begin
-    shingles = np.where(words >= width, words - width + 1, np.minimum(words, 1))
-    total = np.cumsum(shingles)
-    for low in range(0, int(total[-1]) if len(total) else 0, SLICE):
-        number = np.arange(low, min(low + SLICE, int(total[-1])))
-        text = np.searchsorted(total, number, side="right")
-        first = begin[text] + number - (total - shingles)[text]
-        at, size = _spans(ends, first, upto[text], width)
-        _add_bits(counts, text, xxh64(data, at, size))
-    return _majority(counts, shingles)
+    shingles = _Shingles(texts, width)
+    for text, hashes in shingles:
+        _add_bits(counts, text, hashes)
+    return _majority(counts, shingles.count)
 
 
 def _add_bits(counts: np.ndarray, text: np.ndarray, hashes: np.ndarray) -> None:
@@ -157,3 +171,47 @@ def fingerprints(texts: list[bytes], width: int = 3) -> np.ndarray:
     """The 64-bit fingerprint of each text, unsigned."""
     out = [_batch(texts[a:b], width) for a, b in in_batches(texts, 2_000_000)]
     return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def _other(hashes: np.ndarray, number: int) -> np.ndarray:
+    """A further hash made from each one, another for every ``number`` above 0."""
+    if not number:
+        return hashes
+    with np.errstate(over="ignore"):
+        h = hashes + np.uint64(number) * P1
+        h = (h ^ (h >> np.uint64(30))) * P2
+        h = (h ^ (h >> np.uint64(27))) * P3
+        return h ^ (h >> np.uint64(31))
+
+
+def _sketch(texts: list[bytes], width: int, views: int, parts: int) -> np.ndarray:
+    columns = []
+    words = _Shingles(texts, 1)
+    found = list(words)
+    text = np.concatenate([t for t, _ in found]) if found else np.empty(0, np.int64)
+    hashes = np.concatenate([h for _, h in found]) if found else np.empty(0, np.uint64)
+    order = np.lexsort((hashes, text))
+    text, hashes = text[order], hashes[order]
+    fresh = np.ones(len(text), bool)
+    fresh[1:] = (np.diff(text) != 0) | (hashes[1:] != hashes[:-1])
+    text, hashes = text[fresh], hashes[fresh]
+    different = np.bincount(text, minlength=len(texts))
+    for view in range(views):
+        counts = np.zeros((len(texts), 64), np.int64)
+        if len(text):
+            _add_bits(counts, text, _other(hashes, view))
+        columns.append(_majority(counts, different))
+    counts = np.zeros((parts, len(texts), 64), np.int64)
+    shingles = _Shingles(texts, width)
+    for text, hashes in shingles:
+        for part in range(parts):
+            _add_bits(counts[part], text, _other(hashes, part))
+    columns += [_majority(counts[part], shingles.count) for part in range(parts)]
+    return np.stack(columns, axis=1)
+
+
+def sketches(texts: list[bytes], width: int, views: int, parts: int) -> np.ndarray:
+    """For each text ``views`` fingerprints of its distinct words, each by hashes
+    of its own, and ``parts`` fingerprints of its shingles of ``width`` words."""
+    out = [_sketch(texts[a:b], width, views, parts) for a, b in in_batches(texts, 2_000_000)]
+    return np.concatenate(out) if out else np.empty((0, views + parts), np.uint64)
