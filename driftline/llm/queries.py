@@ -201,16 +201,16 @@ def op4_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     warc.write_archives(pages, path, least=0)
     read = warc.read_payloads(spark, path)
-    page = lambda c: F.regexp_extract(c, r":(-?\d+):\d+$", 1).try_cast("long")
+    page = lambda c: warc.row_id(F.col(c)).cast("long")
     rows = stored(
         read.select(
-            page(F.col("record_id")).alias("page_id"),
+            page("record_id").alias("page_id"),
             F.octet_length("payload").cast("long").alias("payload_bytes"),
             F.when(F.col("warc_type") == "revisit", F.col("digest"))
             .otherwise(warc.payload_digest(F.col("payload")))
             .alias("payload_digest"),
             F.col("warc_type").alias("record_type"),
-            page(F.col("refers_to")).alias("refers_to"),
+            page("refers_to").alias("refers_to"),
             "record_id",
             F.col("refers_to").alias("refers_to_record"),
         ),

@@ -127,9 +127,15 @@ def plan_records(rows: DataFrame, least: int = 0) -> DataFrame:
 
 
 def _record_id(row_id: Column, copy: Column) -> Column:
-    return F.concat(
-        F.lit(RECORD_ID), F.coalesce(row_id.cast("string"), F.lit("null")), F.lit(":"), copy
-    )
+    """Names a record by its row's id, payload and place among repeated rows."""
+    named = F.coalesce(row_id.cast("string"), F.lit("null"))
+    return F.concat(F.lit(RECORD_ID), named, F.lit(":"), F.col("digest"), F.lit(":"), copy)
+
+
+def row_id(record_id: Column) -> Column:
+    """The id, as text, of the row that a record was written for; null for none."""
+    found = F.regexp_extract(record_id, f"^{RECORD_ID}(.*):[A-Z2-7]+:[0-9]+$", 1)
+    return F.nullif(F.nullif(found, F.lit("null")), F.lit(""))
 
 
 def _head(kind: Column, record_id: Column, url: Column, *more: tuple[str, Column]) -> Column:
