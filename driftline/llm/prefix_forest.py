@@ -120,8 +120,8 @@ class Forest:
         if not np.isfinite(last):
             return 0
         same = 1 - math.acos(max(-1.0, min(1.0, last))) / math.pi
-        if same >= 1:
-            return 63
+        if not 0 < same < 1:
+            return 63 if same >= 1 else 0
         # A vector this near is missed by every tree: (1 - same ** level) ** trees.
         wanted = 1 - miss ** (1 / len(self.planes))
         return min(63, int(math.log(wanted) / math.log(same)))
