@@ -15,9 +15,7 @@ from pyspark.sql import types as T
 from driftline.session import written
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 256
 HOT_ROWS = 1_000_000
-SALTS = 64
 ROWS_PER_TASK = 2_000_000
 
 
@@ -53,42 +51,44 @@ def skew_join(
     how: str,
     spread_by: Sequence[str],
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    max_bytes: int = BROADCAST_BYTES,
     count_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Shuffle join whose hot left keys are split over ``salts`` tasks.
-
-    A key is hot when it has at least ``hot_rows`` left rows and is among the
-    ``HOT_KEYS`` largest; every key with more than 1/HOT_KEYS of all rows is
-    found, and the hot list is broadcast because it cannot exceed HOT_KEYS rows.
-    ``spread_by`` names left columns that tell the rows of one key apart; the
-    salt is a hash of them, so a re-run task routes its rows the same way.
-    Keys are counted on ``count_from`` where that has the same keys as ``left``
-    and is cheaper to compute.
+    """Shuffle join whose hot left keys are split over tasks.
+
+    A key with at least ``hot_rows`` left rows is hot and gets one salt for each
+    ``hot_rows`` rows, so no task holds much more than that, however large a key
+    is. The list of hot keys is counted once and written; it is broadcast if its
+    measured size allows and shuffled otherwise. ``spread_by`` names left columns
+    that tell the rows of one key apart; the salt is a hash of them, so a re-run
+    task routes its rows the same way. Keys are counted on ``count_from`` where
+    that has the same keys as ``left`` and is cheaper to compute.
     """
     on = list(on)
-    hot = (
+    hot = written(
         (left if count_from is None else count_from)
         .groupBy(*on)
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), *on)
-        .limit(HOT_KEYS)
-        .select(*on, F.lit(True).alias("_hot"))
+        .select(*on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts"))
     )
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    listed = F.broadcast(hot) if fits_broadcast(hot, max_bytes) else hot.hint("merge")
+    salt = F.pmod(F.xxhash64(*spread_by), F.col("_salts")).cast("int")
+    every_salt = F.sequence(F.lit(0), F.col("_salts") - 1)
     salted = (
-        left.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
-        .drop("_hot")
+        left.join(listed, on, "left")
+        .withColumn("_salt", F.when(F.col("_salts").isNotNull(), salt).otherwise(F.lit(0)))
+        .drop("_salts")
     )
     copied = (
-        right.join(F.broadcast(hot), on, "left")
+        right.join(listed, on, "left")
         .withColumn(
-            "_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0))))
+            "_salt",
+            F.explode(
+                F.when(F.col("_salts").isNotNull(), every_salt).otherwise(F.array(F.lit(0)))
+            ),
         )
-        .drop("_hot")
+        .drop("_salts")
     )
     # A size estimate does not know how far texts were laid out into words, so the
     # planner is not left to broadcast this side on an estimate.
@@ -161,7 +161,14 @@ def _segmented_total(
     local = seg.withColumn("_local", F.sum("_v").over(inside))
     return (
         local.join(F.broadcast(carry), match, "left")
-        .withColumn(out, F.col("_local") + F.coalesce("_carry", F.lit(0)))
+        .withColumn(
+            out,
+            # Null only as long as no value has come, as in a window over all rows.
+            F.when(
+                F.col("_local").isNotNull() | F.col("_carry").isNotNull(),
+                F.coalesce("_local", F.lit(0)) + F.coalesce("_carry", F.lit(0)),
+            ),
+        )
         .drop("_v", "_seg", "_local", "_carry", "_cseg", *[f"_c_{g}" for g in group])
     )
 

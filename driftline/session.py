@@ -54,9 +54,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, its lineage cut."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` computed once and kept as Parquet in the shared folder, its lineage cut.
+
+    Readers take only the columns they need, and the planner knows the size.
+    """
+    path = scratch_path(df.sparkSession, "written")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -21,18 +21,25 @@ def sides(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_skew_join_equals_join(sides, rows, how):
     left, right = sides
-    salted = scale.skew_join(left, right, ["k"], how, ["i"], hot_rows=50, salts=8)
+    salted = scale.skew_join(left, right, ["k"], how, ["i"], hot_rows=50)
     assert rows(salted) == rows(left.join(right, ["k"], how))
 
 
 def test_skew_join_spreads_the_hot_key(sides):
     left, right = sides
-    salted = scale.skew_join(left, right, ["k"], "inner", ["i"], hot_rows=50, salts=8)
+    salted = scale.skew_join(left, right, ["k"], "inner", ["i"], hot_rows=50)
     assert salted.count() > 0
     salt = F.pmod(F.xxhash64("i"), F.lit(8))
     assert left.where("k = 'hot'").select(salt).distinct().count() == 8
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_skew_join_with_a_long_list_of_hot_keys(sides, rows, how):
+    left, right = sides
+    salted = scale.skew_join(left, right, ["k"], how, ["i"], hot_rows=2, max_bytes=0)
+    assert rows(salted) == rows(left.join(right, ["k"], how))
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_lookup_join_beyond_the_size_limit(sides, rows, how):
     left, right = sides
@@ -53,6 +60,7 @@ def ordered(spark):
     rng = random.Random(2)
     data = [("big", i, rng.randint(-5, 5)) for i in range(500)]
     data += [(f"g{i % 7}", i, i) for i in range(60)] + [(None, 1, 3), (None, 2, 4)]
+    data += [("late", i, 1 if i > 150 and i % 3 else None) for i in range(200)]
     rng.shuffle(data)
     return spark.createDataFrame(data, "g string, t long, v long").repartition(5)
 
