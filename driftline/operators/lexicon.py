@@ -16,6 +16,7 @@ from driftline.functions import text as tx
 from driftline.operators.revisions import assemble, metadata_times, revision_id, with_known_ids
 from driftline.operators.scale import BROADCAST_BYTES, fits_broadcast, skew_join
 
+# Fixed value: the frequency of a word that has none.
 DEFAULT_FREQUENCY = 0.00001
 
 
@@ -37,7 +38,7 @@ def _words(content: DataFrame, words: Column) -> DataFrame:
 
     The id is worked out before the words are laid out, once per text.
     """
-    laid = content.select(revision_id().alias("id"), words.alias("_w"))
+    laid = content.select(revision_id().alias("id"), words.alias("_w")).where("id IS NOT NULL")
     word = F.coalesce("_word", F.lit("")).alias("word")
     return laid.select("id", F.explode_outer("_w").alias("_word")).select("id", word)
 
@@ -212,12 +213,18 @@ def max_hit_revision(content: DataFrame, hits: DataFrame, preview: int = 100) ->
 
 
 def uncommonness(
-    content: DataFrame, frequencies: DataFrame, max_bytes: int = BROADCAST_BYTES
+    content: DataFrame,
+    frequencies: DataFrame,
+    meta: DataFrame | None = None,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``to_id, uncommon_index``: mean of 1/frequency over a revision's words.
 
-    Words without a frequency get DEFAULT_FREQUENCY; no words give null.
+    Words without a frequency get DEFAULT_FREQUENCY; no words give null. With
+    ``meta`` only revisions that have metadata are scored.
     """
+    if meta is not None:
+        content = with_known_ids(content, meta)
     words = _words(content, tx.unicode_words(F.col("text")))
     known = _looked_up(words, frequencies.select("word", "freq"), "id", max_bytes)
     real = F.col("word") != ""

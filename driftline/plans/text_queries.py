@@ -162,11 +162,11 @@ def word_counts_by_title(spark, sf_dir):
     "top_words",
     f"""SELECT word, count(*) AS count
 FROM (SELECT {WORDS} FROM documents JOIN orders ON o_orderkey = doc_id)
-GROUP BY word ORDER BY count DESC, word LIMIT 100""",
+GROUP BY word ORDER BY count DESC, word""",
 )
 def top_words(spark, sf_dir):
     counts = lexicon.word_counts(ad.content(spark, sf_dir), ad.metadata(spark, sf_dir))
-    return lexicon.top_words(counts, 100)
+    return lexicon.top_words(counts)
 
 
 @query(
@@ -176,13 +176,16 @@ f AS (SELECT word, count(*) / (SELECT count(*) FROM w) AS freq FROM w GROUP BY w
 SELECT d.doc_id AS to_id, round(avg(1 / coalesce(freq, 0.00001)) FILTER (WHERE t.word <> ''), 4)
          AS uncommon_index
 FROM documents d
+JOIN orders ON o_orderkey = d.doc_id
 LEFT JOIN (SELECT doc_id, unnest({UNICODE_WORDS}) AS word FROM documents) t
   ON t.doc_id = d.doc_id
 LEFT JOIN f ON f.word = t.word
 GROUP BY d.doc_id""",
 )
 def uncommonness(spark, sf_dir):
-    scored = lexicon.uncommonness(ad.content(spark, sf_dir), ad.frequencies(spark, sf_dir))
+    scored = lexicon.uncommonness(
+        ad.content(spark, sf_dir), ad.frequencies(spark, sf_dir), ad.metadata(spark, sf_dir)
+    )
     return scored.withColumn("uncommon_index", F.round("uncommon_index", 4))
 
 

@@ -134,7 +134,7 @@ def test_max_hit_revision(content, meta, words):
 @pytest.mark.parametrize("max_bytes", [1 << 20, 0])
 def test_uncommonness(spark, content, max_bytes):
     freq = spark.createDataFrame([("ai", 0.5), ("delve", 0.25)], "word string, freq double")
-    scored = lexicon.uncommonness(content, freq, max_bytes)
+    scored = lexicon.uncommonness(content, freq, max_bytes=max_bytes)
     got = {r["to_id"]: r["uncommon_index"] for r in scored.collect()}
     # delve into ai ever changing / ai ai the
     assert got[1] == pytest.approx((4 + 1e5 + 2 + 1e5 + 1e5 + 2 + 2 + 1e5) / 8)
