@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions import text as tx
-from driftline.operators.scale import BROADCAST_BYTES, lookup_join
+from driftline.operators.scale import BROADCAST_BYTES, fits_broadcast, lookup_join
+from driftline.session import written
 
 
 def tokens_of(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -109,12 +110,19 @@ def window_losses(
     # Only windows that do not overlap lose the token they begin with.
     if stride == max_length:
         scored = scored.where(position != F.col("window") * F.lit(stride))
-    grouped = scored.groupBy(key, "window", "previous", "word").agg(F.count("*").alias("c"))
+    # Read for its size, its bigrams and the losses, so it is written once.
+    grouped = written(
+        scored.groupBy(key, "window", "previous", "word").agg(F.count("*").alias("c"))
+    )
+    totals = word_totals(model) if totals is None else totals
+    wanted = grouped.select("previous", "word").distinct()
+    if fits_broadcast(wanted, max_bytes):
+        # A few texts need a small part of a large model.
+        model = model.join(F.broadcast(wanted), ["previous", "word"], "left_semi")
     with_pairs = lookup_join(
         grouped, model, ["previous", "word"], "left", spread_by=[key, "window"],
         max_bytes=max_bytes,
     )
-    totals = word_totals(model) if totals is None else totals
     with_totals = lookup_join(
         with_pairs, totals.withColumnRenamed("word", "previous"), ["previous"], "left",
         spread_by=[key, "window", "word"], max_bytes=max_bytes, count_from=grouped,
@@ -127,18 +135,35 @@ def window_losses(
     )
 
 
-def perplexity(losses: DataFrame, key: str, weighted: bool = False) -> DataFrame:
-    """``key, perplexity``: exp of the mean over windows of their mean loss.
+def perplexity(
+    losses: DataFrame, key: str, weighted: bool = False, sequences: DataFrame | None = None
+) -> DataFrame:
+    """``key, windows, scored, perplexity``: exp of the mean over windows of their
+    mean loss.
 
     ``weighted`` takes the mean over tokens instead, so that a short last window
-    counts for less.
+    counts for less. With ``sequences`` a text that has nothing to score, with
+    fewer than two tokens, has a row too: no windows, and a null perplexity.
     """
     if weighted:
         mean = F.try_divide(F.sum("loss"), F.sum("scored"))
     else:
         mean = F.avg(F.try_divide("loss", "scored"))
-    return losses.groupBy(key).agg(
+    means = losses.groupBy(key).agg(
         F.count("*").alias("windows"),
         F.sum("scored").alias("scored"),
         F.exp(mean).alias("perplexity"),
     )
+    if sequences is None:
+        return means
+    return (
+        sequences.select(key)
+        .distinct()
+        .join(means, key, "left")
+        .select(
+            key,
+            F.coalesce("windows", F.lit(0)).alias("windows"),
+            F.coalesce("scored", F.lit(0)).alias("scored"),
+            "perplexity",
+        )
+    )

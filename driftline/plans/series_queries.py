@@ -493,9 +493,9 @@ losses AS (SELECT doc, win, count(*) AS scored, sum(l) AS loss FROM nll GROUP BY
 
 def _perplexity_sql(max_length: int, stride: int) -> str:
     return f"""WITH {_losses_sql(max_length, stride)}
-SELECT doc, count(*) AS windows, CAST(sum(scored) AS BIGINT) AS scored,
+SELECT doc, count(win) AS windows, CAST(coalesce(sum(scored), 0) AS BIGINT) AS scored,
        round(exp(avg(loss / scored)), 4) AS perplexity
-FROM losses GROUP BY doc"""
+FROM (SELECT DISTINCT doc FROM turns) LEFT JOIN losses USING (doc) GROUP BY doc"""
 
 
 @query(
@@ -529,10 +529,9 @@ def _perplexity(spark, sf_dir, max_length, stride, weighted=False):
     # The fitted model is read several times, so it is written once.
     model = written(_model(spark, sf_dir))
     totals = written(perplexity.word_totals(model))
-    losses = perplexity.window_losses(
-        ad.turn_tokens(spark, sf_dir), model, "doc", max_length, stride, totals=totals
-    )
-    scored = perplexity.perplexity(losses, "doc", weighted)
+    turns = ad.turn_tokens(spark, sf_dir)
+    losses = perplexity.window_losses(turns, model, "doc", max_length, stride, totals=totals)
+    scored = perplexity.perplexity(losses, "doc", weighted, turns)
     return scored.withColumn("perplexity", F.round("perplexity", 4))
 
 
@@ -549,9 +548,9 @@ def perplexity_no_overlap(spark, sf_dir):
 @query(
     "perplexity_weighted",
     f"""WITH {_losses_sql(64, 32)}
-SELECT doc, count(*) AS windows, CAST(sum(scored) AS BIGINT) AS scored,
+SELECT doc, count(win) AS windows, CAST(coalesce(sum(scored), 0) AS BIGINT) AS scored,
        round(exp(sum(loss) / sum(scored)), 4) AS perplexity
-FROM losses GROUP BY doc""",
+FROM (SELECT DISTINCT doc FROM turns) LEFT JOIN losses USING (doc) GROUP BY doc""",
 )
 def perplexity_weighted(spark, sf_dir):
     return _perplexity(spark, sf_dir, 64, 32, weighted=True)
