@@ -23,11 +23,25 @@ NO_CONTENT = "No content available"
 CSV_FORM = {"nullValue": r"\N", "escape": '"'}
 
 
-def title_of(path: Column, suffix: str = META_SUFFIX) -> Column:
-    """The title a file or folder name ends in, before ``suffix``."""
-    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+def _unescaped(name: Column) -> Column:
+    """Percent escapes undone; a name that has no valid ones stays as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+
+
+def title_of(file_path: Column, suffix: str = META_SUFFIX) -> Column:
+    """The title a file or folder name ends in, before ``suffix``.
+
+    ``file_path`` is that of ``_metadata``, a URI. The name is cut out first and
+    unescaped then, so that a title may hold slashes and percent signs. A
+    partition folder, ``column=title``, is escaped once more by its writer.
+    """
     quoted = suffix.replace(".", r"\.")
-    return F.regexp_extract(plain, rf"([^/=]+){quoted}(?:/[^/]*)?$", 1)
+    as_file = F.regexp_extract(file_path, rf"([^/]+){quoted}$", 1)
+    as_folder = F.regexp_extract(file_path, rf"([^/]+){quoted}/[^/]*$", 1)
+    folder = _unescaped(as_folder)
+    value = F.regexp_extract(folder, r"^[A-Za-z_]\w*=(.*)$", 1)
+    named = F.when(value != "", _unescaped(value)).otherwise(folder)
+    return F.when(as_file != "", _unescaped(as_file)).otherwise(named)
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -67,7 +81,7 @@ def listed_titles(spark: SparkSession, path: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select("path")
+        .select(F.col("_metadata.file_path").alias("path"))
     )
     meta, content = title_of(F.col("path"), META_SUFFIX), title_of(F.col("path"), CONTENT_SUFFIX)
     named = files.select(

@@ -47,6 +47,33 @@ def test_reads_by_name(spark, folder, rows):
     assert rows(landed.complete_titles(listing)) == [("US_election+x",)]
 
 
+ODD_TITLES = [
+    "Star Wars: Part 4", "A%B", "AC/DC?", "C++", "a=b", "100% proof", "Zoë ☃", "plain", "50%25", "x#y",
+]
+
+
+def test_titles_through_folders(spark, tmp_path, rows):
+    path = str(tmp_path / "folders")
+    data = [(t + end, i) for i, t in enumerate(ODD_TITLES) for end in ("_revisions.json", "_revision_content.json")]
+    sinks.write_by(spark.createDataFrame(data, "file string, id long"), path, "file")
+    meta = landed.read_metadata(spark, path).where("title IS NOT NULL AND title <> ''")
+    assert {(r["title"], r["id"]) for r in meta.collect()} == {(t, i) for i, t in enumerate(ODD_TITLES)}
+    assert rows(landed.listed_titles(spark, path)) == sorted(
+        [(t, True, True) for t in ODD_TITLES], key=repr
+    )
+
+
+def test_titles_of_plain_files(spark, tmp_path, rows):
+    path = str(tmp_path / "files")
+    # Neither of these can be a plain file's name in Spark's file systems.
+    titles = [t for t in ODD_TITLES if "/" not in t and ":" not in t]
+    for i, title in enumerate(titles):
+        lines(f"{path}/{title}_revisions.json", [{"id": i}])
+    got = {(r["title"], r["id"]) for r in landed.read_metadata(spark, path).collect()}
+    assert got == {(t, i) for i, t in enumerate(titles)}
+    assert rows(landed.listed_titles(spark, path)) == sorted([(t, True, False) for t in titles], key=repr)
+
+
 def test_mixed_scan_has_no_empty_key(spark, folder, rows):
     mixed = landed.read_mixed(spark, folder)
     assert mixed.count() == 6
