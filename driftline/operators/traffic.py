@@ -157,15 +157,16 @@ def top_articles_revisions(
     """Revisions of the top ``n`` articles: all, and those later than ``since``."""
     top = totals.orderBy(*_by_views()).limit(n)
     recent = F.col("timestamp") > F.lit(since).cast("timestamp_ntz")
+    titles = top.select(F.col("article").alias("title"))
     counts = (
-        meta.join(F.broadcast(top.select(F.col("article").alias("title"))), "title", "left_semi")
+        lookup_join(meta, titles, ["title"], "left_semi", spread_by=["id"])
         .groupBy("title")
         .agg(
             F.count("*").alias("revisions"),
             F.count(F.when(recent, F.lit(1))).alias("recent_revisions"),
         )
     )
-    joined = counts.join(F.broadcast(top), F.col("title") == F.col("article"), "right")
+    joined = counts.join(top, F.col("title") == F.col("article"), "right")
     return joined.select(
         "article",
         "views",

@@ -114,9 +114,9 @@ def resample_weeks(spark, sf_dir):
 
 @query(
     "milestone_means",
-    """SELECT round(avg(o_totalprice) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01'), 2)
+    """SELECT round_even(avg(o_totalprice) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01'), 2)
          AS mean_before,
-       round(avg(o_totalprice) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01'), 2)
+       round_even(avg(o_totalprice) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01'), 2)
          AS mean_after,
        count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01') AS rows_before,
        count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS rows_after,
