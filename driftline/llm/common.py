@@ -54,6 +54,30 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_memory: dict[object, object] = {}
+
+
+def worker_memory(key: object, make):
+    """What ``make`` returned for ``key`` in this Python worker, kept for its later
+    tasks. One such memory is kept at a time, so stages don't add theirs up."""
+    if key not in _memory:
+        _memory.clear()
+        _memory[key] = make()
+    return _memory[key]
+
+
+def release_memory() -> None:
+    """Let go of what stages before this one have kept in this Python worker."""
+    _memory.clear()
+
+
+def small_batches(batches, rows: int = 512):
+    """Arrow batches of at most ``rows`` rows."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

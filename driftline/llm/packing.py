@@ -21,6 +21,9 @@ grows with the longest text, not with the number of rows.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -32,40 +35,68 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.common import in_batches, ship, stored
+from driftline.llm.common import in_batches, ship, small_batches, stored, worker_memory
 
 CAPACITY = 2048
 END_ID = 0
 
 
+# The parts of a tokenizer file by which a chunk of printable ASCII
+# is lower-cased and split before the model sees it, and that split for ASCII.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+ASCII_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
+
+
 class ChunkEncoder:
     """Token ids of whole texts, through a bounded memory of chunks.
 
     The tokenizer drops white space, so a text's ids are those of the chunks
     between ASCII white space, one after another. A chunk's ids are kept until
-    ``entries`` newer chunks have been met since it was last used.
+    ``entries`` newer chunks have been met since it was last used. Chunks of
+    printable ASCII go to the tokenizer's model directly, where its file says that
+    they are only lower-cased and split.
     """
 
     LONGEST = 200  # longer chunks are not remembered
 
-    def __init__(self, path: str, entries: int = 200_000):
+    def __init__(self, path: str, entries: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.entries = entries
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        parts = json.loads(self.tokenizer.to_str())
+        normalizers = (parts["normalizer"] or {}).get("normalizers", [])
+        splits = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.simple = (
+            [n["type"] for n in normalizers] == NORMALIZERS
+            and [s["type"] for s in splits] == ["Split", "ByteLevel"]
+            and splits[0]["pattern"] == {"Regex": SPLIT}
+            and not splits[1]["add_prefix_space"]
+            and not splits[1]["use_regex"]
+            and all(t["content"].startswith("<|") for t in parts["added_tokens"])
+        )
+        self.is_simple = re.compile(rb"(?:(?!<\|)[!-~])+").fullmatch
+        self.split = re.compile(ASCII_SPLIT).findall
 
     def _learn(self, chunks: set[bytes]) -> list[bytes]:
         young, old = self.young, self.old
         known = chunks & old.keys()
         young.update((c, old[c]) for c in known)
-        fresh = list(chunks - known)
-        texts = [c.decode("utf-8", "replace") for c in fresh]
-        for chunk, coded in zip(
-            fresh, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ):
-            young[chunk] = np.array(coded.ids, "<u4").tobytes()
+        fresh, odd = chunks - known, []
+        model = self.tokenizer.model.tokenize
+        for chunk in fresh:
+            if self.simple and self.is_simple(chunk):
+                words = self.split(chunk.decode().lower())
+                ids = [token.id for word in words for token in model(word)]
+                young[chunk] = pack_ids(ids)
+            else:
+                odd.append(chunk)
+        texts = [c.decode("utf-8", "replace") for c in odd]
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        young.update((c, pack_ids(got.ids)) for c, got in zip(odd, coded))
         return [c for c in fresh if len(c) > self.LONGEST]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -81,14 +112,8 @@ class ChunkEncoder:
         return ids
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
-def encoder(path: str) -> ChunkEncoder:
-    """The encoder of this Python worker."""
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Placement(NamedTuple):
@@ -217,9 +242,10 @@ def tokenised_pieces(
     schema += ", ids binary" if with_ids else ""
 
     def cut(batches):
-        coder, part = encoder(path), TaskContext.get().partitionId()
+        coder = worker_memory(("chunks", path), lambda: ChunkEncoder(path))
+        part = TaskContext.get().partitionId()
         met = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
+        for batch in small_batches(batches):
             every = [t or b"" for t in batch.column("body").to_pylist()]
             for a, b in in_batches(every, 2_000_000):
                 rows, at = [], []
