@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import ship
+from driftline.llm.common import ship, small_batches, worker_memory
 
 
 class MinimalPerfectHash:
@@ -44,10 +44,9 @@ class MinimalPerfectHash:
         self.buckets = max(1, self.size // 2)
         self.shift = [0] * self.buckets
         self.keys: list[bytes | None] = [None] * self.size
-        groups: list[list[tuple[int, bytes]]] = [[] for _ in range(self.buckets)]
+        groups: list[list[bytes]] = [[] for _ in range(self.buckets)]
         for key in keys:
-            h = xxhash.xxh64_intdigest(key)
-            groups[h % self.buckets].append((h, key))
+            groups[xxhash.xxh64_intdigest(key) % self.buckets].append(key)
         order = sorted(range(self.buckets), key=lambda b: -len(groups[b]))
         free = None
         for bucket in order:
@@ -57,27 +56,26 @@ class MinimalPerfectHash:
                 while not self._fits(group, by):
                     by += 1
                 self.shift[bucket] = by
-                for h, key in group:
-                    self.keys[self._slot(h, by)] = key
+                for key in group:
+                    self.keys[self._slot(key, by)] = key
             elif group:
                 if free is None:  # from here on, every bucket has one key
                     free = iter([i for i, k in enumerate(self.keys) if k is None])
                 slot = next(free)
                 self.shift[bucket] = -slot - 1
-                self.keys[slot] = group[0][1]
+                self.keys[slot] = group[0]
 
-    def _slot(self, h: int, by: int) -> int:
-        return ((h >> 8) + by * ((h >> 36) | 1)) % self.size
+    def _slot(self, key: bytes, by: int) -> int:
+        return xxhash.xxh64_intdigest(key, by + 1) % self.size
 
-    def _fits(self, group: list[tuple[int, bytes]], by: int) -> bool:
-        slots = {self._slot(h, by) for h, _ in group}
+    def _fits(self, group: list[bytes], by: int) -> bool:
+        slots = {self._slot(key, by) for key in group}
         return len(slots) == len(group) and all(self.keys[s] is None for s in slots)
 
     def slot(self, key: bytes) -> int:
         """The key's slot, or -1 if it isn't one of the keys."""
-        h = xxhash.xxh64_intdigest(key)
-        by = self.shift[h % self.buckets]
-        at = -by - 1 if by < 0 else self._slot(h, by)
+        by = self.shift[xxhash.xxh64_intdigest(key) % self.buckets]
+        at = -by - 1 if by < 0 else self._slot(key, by)
         return at if self.keys[at] == key else -1
 
 
@@ -87,28 +85,29 @@ def merged(piece: bytes, rank) -> list[bytes]:
     after = list(range(1, n + 1))  # where the part that starts here ends
     before = list(range(-1, n))
     ranks = [-1] * n  # of the pair that starts here
-    heap = []
+    heap = []  # rank and place in one number
     for i in range(n - 1):
         if (r := rank(piece[i : i + 2])) is not None:
             ranks[i] = r
-            heap.append((r, i))
+            heap.append(r * n + i)
     heapify(heap)
     while heap:
-        r, i = heappop(heap)
+        r, i = divmod(heappop(heap), n)
         if ranks[i] != r:
             continue  # one of its parts has been merged since
         middle = after[i]
         end = after[i] = after[middle]
-        ranks[middle] = -1
+        ranks[middle] = ranks[i] = -1
         before[end] = i
-        for left in (i, before[i]):
-            if left < 0:
-                continue
-            right = after[left]
-            r = rank(piece[left : after[right]]) if right < n else None
-            ranks[left] = -1 if r is None else r
-            if r is not None:
-                heappush(heap, (r, left))
+        if end < n and (r := rank(piece[i : after[end]])) is not None:
+            ranks[i] = r
+            heappush(heap, r * n + i)
+        if (left := before[i]) >= 0:
+            if (r := rank(piece[left:end])) is not None:
+                ranks[left] = r
+                heappush(heap, r * n + left)
+            else:
+                ranks[left] = -1
     parts, i = [], 0
     while i < n:
         parts.append(piece[i : after[i]])
@@ -116,52 +115,54 @@ def merged(piece: bytes, rank) -> list[bytes]:
     return parts
 
 
-class _Units(dict):
-    """Ids of units by the text behind their leading space; None where a unit
-    can't stand alone. At most twice ``entries`` are kept."""
+class _Memory(dict):
+    """Remembers what ``make`` returns for a key, for 2 * ``entries`` keys at most
+    and none that is longer than ``LONGEST``."""
 
     LONGEST = 200
 
-    def __init__(self, codec: Codec, entries: int):
+    def __init__(self, make, entries: int):
         super().__init__()
-        self.codec, self.entries, self.old = codec, entries, {}
-
-    def __missing__(self, part: str):
-        if part in self.old:
-            ids = self.old[part]
-        elif not part or part[0].isspace() or part[-1].isspace():
-            ids = None
-        else:
-            ids = self.codec.encode_plain(" " + part)
-        if len(part) <= self.LONGEST:
+        self.make, self.entries, self.old = make, entries, {}
+
+    def __missing__(self, key):
+        value = self.old[key] if key in self.old else self.make(key)
+        if len(key) <= self.LONGEST:
             if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
-            self[part] = ids
-        return ids
+            self[key] = value
+        return value
 
 
 class Codec:
-    def __init__(self, path: str, pattern: str, entries: int = 150_000):
+    def __init__(self, path: str, pattern: str, entries: int = 300_000):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.hash = MinimalPerfectHash(list(self.ranks))
         self.id_of_slot = [self.ranks[key] for key in self.hash.keys]
         self.bytes_of_id = {rank: key for key, rank in self.ranks.items()}
         self.find = regex.compile(pattern).findall
-        self.units = _Units(self, entries)
+        self.tokens = _Memory(self.encode_token, entries)
+        self.units = _Memory(self._encode_unit, entries)
 
-    def encode_token(self, token: bytes) -> list[int]:
+    def encode_token(self, token: str) -> tuple[int, ...]:
         """Ids of one pre-token: whole if the hash has it, else merged."""
-        slot = self.hash.slot(token)
+        raw = token.encode()
+        slot = self.hash.slot(raw)
         if slot >= 0:
-            return [self.id_of_slot[slot]]
-        return [self.ranks[part] for part in merged(token, self.ranks.get)]
+            return (self.id_of_slot[slot],)
+        return tuple(self.ranks[part] for part in merged(raw, self.ranks.get))
+
+    def _encode_unit(self, part: str) -> tuple[int, ...] | None:
+        """Ids of a space and ``part``; None where these can't stand alone."""
+        if not part or part[0].isspace() or part[-1].isspace():
+            return None
+        return self.encode_plain(" " + part)
 
     def encode_plain(self, text: str) -> tuple[int, ...]:
-        return tuple(
-            chain.from_iterable(self.encode_token(t.encode()) for t in self.find(text))
-        )
+        found = list(map(self.tokens.__getitem__, self.find(text)))
+        return found[0] if len(found) == 1 else tuple(chain.from_iterable(found))
 
     def encode(self, text: str) -> list[int]:
         parts = text.split(" ")
@@ -193,14 +194,9 @@ class Codec:
         return b"".join(map(self.bytes_of_id.__getitem__, ids))
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def codec(path: str, pattern: str) -> Codec:
     """The codec of this Python worker."""
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+    return worker_memory(("codec", path, pattern), lambda: Codec(path, pattern))
 
 
 def _mapped(docs: DataFrame, id_col: str, value: str, as_type: str, names: str, kinds, convert):
@@ -208,16 +204,13 @@ def _mapped(docs: DataFrame, id_col: str, value: str, as_type: str, names: str,
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
-            values = batch.column("value")
-            for low in range(0, max(len(values), 1), 256):
-                span = values.slice(low, 256).to_pylist()
-                rows = [convert(v) for v in span]
-                columns = [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(low, 256), *columns],
-                    names=["doc_id", *(name for name, _ in kinds)],
-                )
+        for batch in small_batches(batches, 256):
+            rows = [convert(v) for v in batch.column("value").to_pylist()]
+            columns = [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *columns],
+                names=["doc_id", *(name for name, _ in kinds)],
+            )
 
     chosen = docs.select(
         F.col(id_col).alias("doc_id"), F.col(value).cast(as_type).alias("value")
