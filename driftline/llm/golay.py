@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.llm import simhash
-from driftline.llm.common import ship, stored, unused
+from driftline.llm.common import release_memory, ship, small_batches, stored, unused
 from driftline.llm.components import component_roots
 
 #: First bit and length of each segment.
@@ -135,7 +135,8 @@ def fingerprinted(
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def printed(batches):
-        for batch in batches:
+        release_memory()
+        for batch in small_batches(batches):
             texts = [t or b"" for t in batch.column("body").to_pylist()]
             fps = simhash.fingerprints(texts, width).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -185,24 +186,37 @@ VIEWS, REACH, PARTS, MOST = 3, 12, 4, 50
 def sketched(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5
 ) -> DataFrame:
-    """``doc_id``, the word fingerprints ``w0``... and shingle fingerprints ``s0``..."""
+    """``doc_id``, the text's ``sha256``, the word fingerprints ``w0``... and the
+    shingle fingerprints ``s0``..."""
     ship(docs.sparkSession)
     names = [f"w{i}" for i in range(VIEWS)] + [f"s{i}" for i in range(PARTS)]
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def printed(batches):
-        for batch in batches:
+        release_memory()
+        for batch in small_batches(batches):
             texts = [t or b"" for t in batch.column("body").to_pylist()]
             found = simhash.sketches(texts, width, VIEWS, PARTS).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in found.T)],
-                names=["doc_id", *names],
+                [
+                    batch.column("doc_id"),
+                    batch.column("sha256"),
+                    *(pa.array(c, pa.int64()) for c in found.T),
+                ],
+                names=["doc_id", "sha256", *names],
             )
 
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("body")
+        F.col(id_col).alias("doc_id"),
+        _sha256(text_col).alias("sha256"),
+        F.col(text_col).cast("binary").alias("body"),
     )
-    return rows.mapInArrow(printed, f"doc_id {id_type}, " + ", ".join(f"{n} long" for n in names))
+    columns = ", ".join(f"{n} long" for n in names)
+    return rows.mapInArrow(printed, f"doc_id {id_type}, sha256 string, {columns}")
+
+
+def _sha256(text_col: str) -> Column:
+    return F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -258,8 +272,9 @@ def _alike(classes: DataFrame) -> DataFrame:
 def similar_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5
 ) -> DataFrame:
-    """One row per input row: ``doc_id`` and ``group_id``, the smallest id of its
-    group of texts with a similarity of 0.8 or more.
+    """One row per input row: ``doc_id``, ``group_id``, the smallest id of its group
+    of texts with a similarity of 0.8 or more, the text's ``sha256``, and whether it
+    is the row that ``stays``.
 
     Similarity is that of the shingle sets, judged on 256 bits of SimHash. So many
     bits differ at 0.8 that shingles can't serve as keys; distinct words change
@@ -269,11 +284,13 @@ def similar_groups(
     their members. Only one text of each such group takes part in the search.
     """
     rows = stored(sketched(docs, id_col, text_col, width), "sketches")
-    prints = [c for c in rows.columns if c != "doc_id"]
+    prints = [c for c in rows.columns if c not in ("doc_id", "sha256")]
+    # Rows without an id come last; the text decides between rows of one id.
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "sha256")
     # Numbers of stored rows: they don't change when the rows are read again.
     classes = stored(
         rows.groupBy(*prints)
-        .agg(F.min("doc_id").alias("least"))
+        .agg(F.min(place).alias("least"))
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
@@ -288,25 +305,33 @@ def similar_groups(
         classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")),
         "placed",
     )
-    ids = stored(placed.groupBy("root").agg(F.min("least").alias("group_id")), "group-ids")
-    of_class = stored(placed.join(ids, "root").select(*prints, "group_id"), "class-groups")
-    return rows.join(of_class, prints).select("doc_id", "group_id")
+    ids = stored(placed.groupBy("root").agg(F.min("least").alias("first")), "group-ids")
+    of_class = stored(placed.join(ids, "root").select(*prints, "first"), "class-groups")
+    return rows.join(of_class, prints).select(
+        "doc_id",
+        F.col("first.doc_id").alias("group_id"),
+        "sha256",
+        F.struct("doc_id", "sha256")
+        .eqNullSafe(F.struct("first.doc_id", "first.sha256"))
+        .alias("stays"),
+    )
 
 
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5
 ) -> DataFrame:
-    """``docs`` with the row of the smallest id of each group of similar texts only."""
-    groups = similar_groups(docs, id_col, text_col, width)
+    """``docs`` with one row of each group of similar texts, that of the smallest id."""
+    groups = similar_groups(docs, id_col, text_col, width).where("stays")
+    key = unused(docs, "row")
+    named = lambda doc_id, sha: F.concat_ws(" ", doc_id.cast("string"), sha)
     kept = stored(
-        groups.where(F.col("doc_id").eqNullSafe(F.col("group_id")))
-        .groupBy("doc_id")
-        .agg(F.count("*").alias("rows")),
+        groups.groupBy(named(F.col("doc_id"), F.col("sha256")).alias(key)).agg(
+            F.count("*").alias("rows")
+        ),
         "kept",
     )
-    key = unused(docs, "id")
-    wanted = kept.select(F.col("doc_id").alias(key))
-    left = docs.join(wanted, F.col(id_col).eqNullSafe(F.col(key)), "left_semi")
-    if not kept.where(F.col("rows") > 1).isEmpty():  # an id that several rows have
-        left = left.dropDuplicates([id_col])
-    return left
+    keyed = docs.withColumn(key, named(F.col(id_col), _sha256(text_col)))
+    left = keyed.join(kept.select(key), key, "left_semi")
+    if not kept.where(F.col("rows") > 1).isEmpty():  # the same row more than once
+        left = left.dropDuplicates([key])
+    return left.select(docs.columns)

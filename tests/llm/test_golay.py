@@ -153,6 +153,17 @@ def test_similar_texts_are_grouped_and_others_kept(spark):
     assert golay.keep_one(df.limit(0)).count() == 0
 
 
+def test_rows_without_an_id_or_with_the_same_one(spark):
+    rng = random.Random(3)
+    one, two, three = (" ".join(f"w{rng.randint(0, 3000)}" for _ in range(200)) for _ in range(3))
+    rows = [(None, one), (None, two), (5, three), (5, one + " more"), (None, None), (5, three)]
+    df = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, _row string")
+    left = golay.keep_one(df)
+    assert left.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=repr)
+    assert got == sorted([(None, two), (5, three), (5, one + " more"), (None, None)], key=repr)
+
+
 def test_large_group_of_near_copies(spark):
     """Many variants of one text: one stays, and no pairs of all are made."""
     rng = random.Random(2)
