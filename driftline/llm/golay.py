@@ -1,5 +1,7 @@
 """Near duplicates by SimHash, found with Golay-code fuzzy hashing.
 
+Groups by the exact similarity of shingle sets are made in ``similar``.
+
 A 64-bit fingerprint is cut into segments of 23, 23 and 18 bits. The binary Golay
 code of length 23 has one codeword within three bits of every segment. Each
 segment is decoded to the index of its nearest codeword; where that is exactly
@@ -33,8 +35,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.llm import simhash
-from driftline.llm.common import release_memory, ship, small_batches, stored, unused
+from driftline.llm.common import release_memory, ship, small_batches, stored
 from driftline.llm.components import component_roots
+from driftline.llm.similar import keep_one, similar_groups  # noqa: F401
 
 #: First bit and length of each segment.
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -174,164 +177,3 @@ def near_duplicates(
 
 def hex_print(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
-
-
-#: For similar texts: fingerprints of distinct words that find candidates and how
-#: far those may differ, fingerprints of shingles that decide, and the bits in
-#: which these may differ. Shingle sets with a similarity of 0.8 differ in 39 of
-#: 256 bits on average, with a standard deviation of 6; 50 is two of these above.
-VIEWS, REACH, PARTS, MOST = 3, 12, 4, 50
-
-
-def sketched(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5
-) -> DataFrame:
-    """``doc_id``, the text's ``sha256``, the word fingerprints ``w0``... and the
-    shingle fingerprints ``s0``..."""
-    ship(docs.sparkSession)
-    names = [f"w{i}" for i in range(VIEWS)] + [f"s{i}" for i in range(PARTS)]
-    id_type = docs.schema[id_col].dataType.simpleString()
-
-    def printed(batches):
-        release_memory()
-        for batch in small_batches(batches):
-            texts = [t or b"" for t in batch.column("body").to_pylist()]
-            found = simhash.sketches(texts, width, VIEWS, PARTS).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("sha256"),
-                    *(pa.array(c, pa.int64()) for c in found.T),
-                ],
-                names=["doc_id", "sha256", *names],
-            )
-
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        _sha256(text_col).alias("sha256"),
-        F.col(text_col).cast("binary").alias("body"),
-    )
-    columns = ", ".join(f"{n} long" for n in names)
-    return rows.mapInArrow(printed, f"doc_id {id_type}, sha256 string, {columns}")
-
-
-def _sha256(text_col: str) -> Column:
-    return F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-
-
-def _confirmed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` of nodes whose shingle fingerprints are near enough."""
-    parts = [f"s{i}" for i in range(PARTS)]
-    side = lambda end, name: classes.select(
-        F.col("node").alias(end), F.array(*parts).alias(name)
-    )
-    differing = sum(
-        (F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(PARTS)), F.lit(0)
-    )
-    met = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-    return met.where(differing <= MOST).select("a", "b")
-
-
-def _alike_in_part(classes: DataFrame) -> DataFrame:
-    """Pairs of a node and the smallest node with the same two segments of a word
-    fingerprint. Large groups of similar texts hang together by these."""
-    keys = []
-    for view in range(VIEWS):
-        word = F.col(f"w{view}")
-        for number, pair in enumerate(combinations(SEGMENTS, 2)):
-            key = F.lit(3 * view + number).cast("long")
-            for at, size in pair:
-                cut = F.shiftrightunsigned(word, at).bitwiseAND(F.lit((1 << size) - 1))
-                key = F.shiftleft(key, size).bitwiseOR(cut)
-            keys.append(key)
-    placed = stored(classes.select("node", F.explode(F.array(*keys)).alias("key")), "parts")
-    least = stored(placed.groupBy("key").agg(F.min("node").alias("b")), "least")
-    return placed.join(least, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-
-
-def _alike(classes: DataFrame) -> DataFrame:
-    """Pairs of nodes with a word fingerprint within reach of the other's."""
-    found = []
-    for view in range(VIEWS):
-        held = classes.select(F.col(f"w{view}").alias("fp"), "node")
-        near = stored(linked(held.select("fp").distinct(), REACH), "near")
-        same = held.groupBy("fp").agg(F.min("node").alias("b"))
-        pairs = (
-            near.join(held.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a")
-            .join(held.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b")
-            .select(F.col("x").alias("a"), F.col("y").alias("b"))
-        )
-        alone = held.join(same, "fp").where("node <> b").select(F.col("node").alias("a"), "b")
-        found.append(pairs.unionByName(alone))
-    every = found[0]
-    for pairs in found[1:]:
-        every = every.unionByName(pairs)
-    return every.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-
-def similar_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5
-) -> DataFrame:
-    """One row per input row: ``doc_id``, ``group_id``, the smallest id of its group
-    of texts with a similarity of 0.8 or more, the text's ``sha256``, and whether it
-    is the row that ``stays``.
-
-    Similarity is that of the shingle sets, judged on 256 bits of SimHash. So many
-    bits differ at 0.8 that shingles can't serve as keys; distinct words change
-    far less, and three fingerprints of these, searched by their Golay codewords,
-    bring similar texts together. First, texts that share two segments outright are
-    joined to the smallest of them, which gathers large groups without pairing
-    their members. Only one text of each such group takes part in the search.
-    """
-    rows = stored(sketched(docs, id_col, text_col, width), "sketches")
-    prints = [c for c in rows.columns if c not in ("doc_id", "sha256")]
-    # Rows without an id come last; the text decides between rows of one id.
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "sha256")
-    # Numbers of stored rows: they don't change when the rows are read again.
-    classes = stored(
-        rows.groupBy(*prints)
-        .agg(F.min(place).alias("least"))
-        .withColumn("node", F.monotonically_increasing_id()),
-        "classes",
-    )
-    first = stored(_confirmed(_alike_in_part(classes), classes), "first-links")
-    inside = stored(component_roots(first), "first-roots")
-    left = stored(
-        classes.join(inside, "node", "left_anti"), "representatives"
-    )
-    more = stored(_confirmed(_alike(left), left), "more-links")
-    roots = stored(component_roots(first.unionByName(more)), "roots")
-    placed = stored(
-        classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")),
-        "placed",
-    )
-    ids = stored(placed.groupBy("root").agg(F.min("least").alias("first")), "group-ids")
-    of_class = stored(placed.join(ids, "root").select(*prints, "first"), "class-groups")
-    return rows.join(of_class, prints).select(
-        "doc_id",
-        F.col("first.doc_id").alias("group_id"),
-        "sha256",
-        F.struct("doc_id", "sha256")
-        .eqNullSafe(F.struct("first.doc_id", "first.sha256"))
-        .alias("stays"),
-    )
-
-
-def keep_one(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5
-) -> DataFrame:
-    """``docs`` with one row of each group of similar texts, that of the smallest id."""
-    groups = similar_groups(docs, id_col, text_col, width).where("stays")
-    key = unused(docs, "row")
-    named = lambda doc_id, sha: F.concat_ws(" ", doc_id.cast("string"), sha)
-    kept = stored(
-        groups.groupBy(named(F.col("doc_id"), F.col("sha256")).alias(key)).agg(
-            F.count("*").alias("rows")
-        ),
-        "kept",
-    )
-    keyed = docs.withColumn(key, named(F.col(id_col), _sha256(text_col)))
-    left = keyed.join(kept.select(key), key, "left_semi")
-    if not kept.where(F.col("rows") > 1).isEmpty():  # the same row more than once
-        left = left.dropDuplicates([key])
-    return left.select(docs.columns)

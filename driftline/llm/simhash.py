@@ -173,45 +173,17 @@ def fingerprints(texts: list[bytes], width: int = 3) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def _other(hashes: np.ndarray, number: int) -> np.ndarray:
-    """A further hash made from each one, another for every ``number`` above 0."""
-    if not number:
-        return hashes
-    with np.errstate(over="ignore"):
-        h = hashes + np.uint64(number) * P1
-        h = (h ^ (h >> np.uint64(30))) * P2
-        h = (h ^ (h >> np.uint64(27))) * P3
-        return h ^ (h >> np.uint64(31))
-
-
-def _sketch(texts: list[bytes], width: int, views: int, parts: int) -> np.ndarray:
-    columns = []
-    words = _Shingles(texts, 1)
-    found = list(words)
-    text = np.concatenate([t for t, _ in found]) if found else np.empty(0, np.int64)
-    hashes = np.concatenate([h for _, h in found]) if found else np.empty(0, np.uint64)
+def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of the texts, by text and ascending; the text
+    of each; the number of each text's."""
+    texts_of, found = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for text, hashes in _Shingles(texts, width):
+        texts_of.append(text)
+        found.append(hashes)
+    text, hashes = np.concatenate(texts_of), np.concatenate(found)
     order = np.lexsort((hashes, text))
     text, hashes = text[order], hashes[order]
     fresh = np.ones(len(text), bool)
-    fresh[1:] = (np.diff(text) != 0) | (hashes[1:] != hashes[:-1])
+    fresh[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
     text, hashes = text[fresh], hashes[fresh]
-    different = np.bincount(text, minlength=len(texts))
-    for view in range(views):
-        counts = np.zeros((len(texts), 64), np.int64)
-        if len(text):
-            _add_bits(counts, text, _other(hashes, view))
-        columns.append(_majority(counts, different))
-    counts = np.zeros((parts, len(texts), 64), np.int64)
-    shingles = _Shingles(texts, width)
-    for text, hashes in shingles:
-        for part in range(parts):
-            _add_bits(counts[part], text, _other(hashes, part))
-    columns += [_majority(counts[part], shingles.count) for part in range(parts)]
-    return np.stack(columns, axis=1)
-
-
-def sketches(texts: list[bytes], width: int, views: int, parts: int) -> np.ndarray:
-    """For each text ``views`` fingerprints of its distinct words, each by hashes
-    of its own, and ``parts`` fingerprints of its shingles of ``width`` words."""
-    out = [_sketch(texts[a:b], width, views, parts) for a, b in in_batches(texts, 2_000_000)]
-    return np.concatenate(out) if out else np.empty((0, views + parts), np.uint64)
+    return hashes, text, np.bincount(text, minlength=len(texts))

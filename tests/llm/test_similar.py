@@ -1,0 +1,52 @@
+"""Groups of similar texts against all pairs, compared set by set."""
+
+import random
+from itertools import combinations
+
+from driftline.llm import golay
+
+
+def shingle_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b)
+
+
+def brute_groups(texts):
+    """The smallest place that links of 0.8 reach, for each text."""
+    sets, group = [shingle_set(t) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, j in combinations(range(len(texts)), 2):
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            low, high = sorted((find(i), find(j)))
+            group[high] = low
+    return [find(i) for i in range(len(texts))]
+
+
+def found_groups(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.group_id for r in golay.similar_groups(df).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def fresh(rng, n):
+    return [f"w{rng.randint(0, 10**9)}" for _ in range(n)]
+
+
+def test_pairs_below_the_bound_are_no_links(spark):
+    rng, texts = random.Random(1), []
+    for _ in range(60):
+        words, cut = fresh(rng, 300), rng.randint(35, 80)
+        texts += [" ".join(words), " ".join(words[:-cut] + fresh(rng, cut))]
+    texts += ["a b c d e f g h i", "a b c d e f g h x", "a b c d e", "a b c d"]
+    alike = [similarity(*map(shingle_set, texts[i : i + 2])) for i in range(0, 120, 2)]
+    assert all(0.55 < s < 0.8 for s in alike)
+    assert found_groups(spark, texts) == brute_groups(texts) == list(range(len(texts)))
