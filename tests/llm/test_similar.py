@@ -50,3 +50,14 @@ def test_pairs_below_the_bound_are_no_links(spark):
     alike = [similarity(*map(shingle_set, texts[i : i + 2])) for i in range(0, 120, 2)]
     assert all(0.55 < s < 0.8 for s in alike)
     assert found_groups(spark, texts) == brute_groups(texts) == list(range(len(texts)))
+
+
+def test_an_added_or_removed_block_is_found(spark):
+    """Of words that the rest does not have, as far as a link allows it."""
+    rng, texts = random.Random(2), []
+    for i in range(150):
+        words = fresh(rng, 304)  # 300 shingles
+        other = words + fresh(rng, 75) if i % 2 else words[:-60]
+        texts += [" ".join(words), " ".join(other)]
+        assert similarity(*map(shingle_set, texts[-2:])) == 0.8
+    assert found_groups(spark, texts) == [i - i % 2 for i in range(300)]
