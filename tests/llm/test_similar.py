@@ -61,3 +61,25 @@ def test_an_added_or_removed_block_is_found(spark):
         texts += [" ".join(words), " ".join(other)]
         assert similarity(*map(shingle_set, texts[-2:])) == 0.8
     assert found_groups(spark, texts) == [i - i % 2 for i in range(300)]
+
+
+def drifting(rng, words, copies, edits):
+    """Each made from the last one, in a random order."""
+    texts = []
+    for _ in range(copies):
+        texts.append(" ".join(words))
+        for _ in range(edits):
+            words = list(words)
+            words[rng.randrange(len(words))] = f"v{rng.randint(0, 10**9)}"
+    rng.shuffle(texts)
+    return texts
+
+
+def test_drifting_copies(spark):
+    rng, texts = random.Random(3), []
+    for edits in (2, 4, 6, 7):
+        for _ in range(4):
+            texts += drifting(rng, fresh(rng, 300), 40, edits)
+    want = brute_groups(texts)
+    assert 16 < len(set(want)) < 200
+    assert found_groups(spark, texts) == want
