@@ -83,3 +83,18 @@ def test_drifting_copies(spark):
     want = brute_groups(texts)
     assert 16 < len(set(want)) < 200
     assert found_groups(spark, texts) == want
+
+
+def test_the_same_words_in_other_orders(spark):
+    rng, texts = random.Random(4), []
+    lines = [" ".join(fresh(rng, 3)) for _ in range(100)]
+    for _ in range(30):
+        rng.shuffle(lines)
+        for _ in range(3):
+            i, j = rng.sample(range(100), 2)
+            near = list(lines)
+            near[i], near[j] = near[j], near[i]
+            texts.append("\n".join(near))
+    want = brute_groups(texts)
+    assert want == [i - i % 3 for i in range(90)]
+    assert found_groups(spark, texts) == want
