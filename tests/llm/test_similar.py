@@ -98,3 +98,12 @@ def test_the_same_words_in_other_orders(spark):
     want = brute_groups(texts)
     assert want == [i - i % 3 for i in range(90)]
     assert found_groups(spark, texts) == want
+
+
+def test_repeated_lines_count_once(spark):
+    rng, texts = random.Random(5), []
+    for _ in range(20):
+        words, footer = fresh(rng, 300), fresh(rng, 8)
+        texts += [" ".join(words + footer), " ".join(words + footer * 200)]
+        assert similarity(*map(shingle_set, texts[-2:])) > 0.95
+    assert found_groups(spark, texts) == [i - i % 2 for i in range(40)]
