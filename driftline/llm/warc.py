@@ -244,9 +244,13 @@ class _Source:
         self.inflate = zlib.decompressobj(31)
 
     def _more(self) -> bool:
-        while self.at < len(self.data) or self.inflate.unconsumed_tail:
+        while (
+            self.at < len(self.data)
+            or self.inflate.unconsumed_tail
+            or (self.inflate.eof and self.inflate.unused_data.strip(b"\0"))
+        ):
             if self.inflate.eof:  # the next member of the file
-                rest = self.inflate.unused_data
+                rest = self.inflate.unused_data.lstrip(b"\0")
                 self.inflate = zlib.decompressobj(31)
                 raw = rest or self._raw()
             else:

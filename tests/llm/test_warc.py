@@ -116,3 +116,15 @@ def test_digest_and_empty(spark, tmp_path):
         assert r.d == (None if r.payload is None else digest(bytes(r.payload)))
     warc.write_archives(df.limit(0), str(tmp_path / "out"))
     assert warc.read_payloads(spark, str(tmp_path / "out")).count() == 0
+
+
+def test_a_member_for_each_record():
+    def record(i):
+        head = f"WARC/1.1\r\nWARC-Record-ID: <r{i}>\r\nContent-Length: 5\r\n\r\n"
+        return gzip.compress(f"{head}{i:05}\r\n\r\n".encode())
+
+    for count in (1, 3, 2000):
+        data = b"".join(map(record, range(count)))
+        for padding in (b"", bytes(512)):
+            got = list(warc.parse(data + padding))
+            assert [block for _, block in got] == [b"%05d" % i for i in range(count)]
