@@ -121,9 +121,21 @@ def _mix(likelihood: np.ndarray, n: np.ndarray, shares: np.ndarray) -> tuple[np.
 
 def infer(model: Model, text: str | None) -> tuple[str, float, list[str], list[float]]:
     """Main language and its proportion, all languages found and theirs."""
+    return _fitted(model, text)[:4]
+
+
+def evidence(model: Model, text: str | None) -> float:
+    """By how much the text's mixture makes a trigram likelier, as a logarithm and
+    on the mean, than trigrams spread evenly; below 0 for a text without a letter."""
+    return _fitted(model, text)[4]
+
+
+def _fitted(
+    model: Model, text: str | None
+) -> tuple[str, float, list[str], list[float], float]:
     cells = trigrams(text) if text else np.empty(0, np.int64)
     if not len(cells) or not model.languages:
-        return UNKNOWN, 0.0, [], []
+        return UNKNOWN, 0.0, [], [], -math.inf
     counts = np.bincount(cells, minlength=CELLS)
     at = np.flatnonzero(counts)
     n, likelihood = counts[at].astype(float), model.likelihood[at]
@@ -147,7 +159,21 @@ def infer(model: Model, text: str | None) -> tuple[str, float, list[str], list[f
     order = sorted(range(len(chosen)), key=lambda i: (-shares[i], chosen[i]))
     names = [model.languages[chosen[i]] for i in order]
     parts = [min(1.0, float(shares[i])) for i in order]
-    return names[0], parts[0], names, parts
+    return names[0], parts[0], names, parts, reached / len(cells) + math.log(CELLS)
+
+
+def spoken(docs: DataFrame, model: Model, text: str = "text") -> Column:
+    """Whether the mixture found explains the text better than no language does:
+    its trigrams are likelier than if all were spread evenly."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def judged(texts: pd.Series) -> pd.Series:
+        return pd.Series([evidence(shared.value, t) > 0 for t in texts], dtype=bool)
+
+    return judged(F.col(text))
 
 
 def predicted(docs: DataFrame, model: Model, text: str = "text") -> Column:
