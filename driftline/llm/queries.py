@@ -15,6 +15,7 @@ from driftline.llm import (
     golay,
     lang_mixture,
     packing,
+    piece_codec,
     prefix_forest,
     tool_calls,
     url_trie,
@@ -316,3 +317,9 @@ def op8_bpe_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query("op13_piece_prefix_table")
+def op13_piece_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_codec.round_trip_digests(table(spark, sf_dir, "documents"), model)
