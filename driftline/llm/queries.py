@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.llm import (
+    best_position,
     block_naming,
     bpe_codec,
     class_lm,
@@ -323,3 +324,45 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_piece_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return piece_codec.round_trip_digests(table(spark, sf_dir, "documents"), model)
+
+
+@query(
+    "op11_best_position",
+    r"""
+    WITH d AS (
+        SELECT doc_id, unnest(regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM documents
+    ), q AS (
+        SELECT item_id, unnest(regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark
+    ), asked AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY ALL
+    ), sizes AS (SELECT doc_id, count(*) AS n FROM d GROUP BY ALL
+    ), total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM sizes
+    ), held AS (
+        SELECT doc_id, term, count(*) AS tf FROM d
+        WHERE term IN (SELECT term FROM q) GROUP BY ALL
+    ), weighed AS (
+        SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))
+                          AS BIGINT) AS w
+        FROM held, total GROUP BY term, docs
+    ), gains AS (
+        SELECT doc_id, term, w * ((1000000000 * tf)
+               // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // words)))) AS gain
+        FROM held JOIN weighed USING (term) JOIN sizes USING (doc_id), total
+    ), scored AS (
+        SELECT item_id, doc_id, CAST(sum(times * gain) AS BIGINT) AS score
+        FROM asked JOIN gains USING (term) GROUP BY ALL
+    )
+    SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0 WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+    QUALIFY row_number() OVER w <= 10
+    """,
+)
+def op11_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.ranked(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10
+    )
