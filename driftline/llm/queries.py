@@ -19,6 +19,7 @@ from driftline.llm import (
     piece_codec,
     prefix_forest,
     tool_calls,
+    turn_trie,
     url_trie,
     warc,
 )
@@ -320,6 +321,65 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary)
 
 
+@query(
+    "op12_turn_trie",
+    r"""
+    WITH t AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+               length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS k,
+               octet_length(encode(coalesce(text, ''))) AS bytes
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), c AS (
+        SELECT conv_id, conv_id - conv_id % 5 AS lender, xor(4294967295, list_reduce(
+            list_concat([4294967295::BIGINT], flatten(list_transform(
+                range(1, length(conv_id::VARCHAR) + 1), lambda i: list_concat(
+                    [ascii(substr(conv_id::VARCHAR, i::INTEGER, 1))::BIGINT],
+                    [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+            lambda r, x: CASE WHEN x >= 0 THEN xor(r, x)
+                              WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END
+        )) % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM t)
+    ), r AS (
+        SELECT c.conv_id, 0 AS part, pos, k, bytes FROM c JOIN t ON t.conv_id = lender AND pos <= h
+        UNION ALL
+        SELECT c.conv_id, 1, pos, k, bytes FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h
+    ), seqs AS (
+        SELECT c.conv_id, coalesce(ks, []) AS ks, coalesce(bs, []) AS bs FROM c LEFT JOIN (
+            SELECT conv_id, list(k ORDER BY part, pos) AS ks, list(bytes ORDER BY part, pos) AS bs
+            FROM r GROUP BY conv_id) USING (conv_id)
+    ), members AS (
+        SELECT conv_id, d AS depth, list_slice(ks, 1, d) AS p, bs, d = len(ks) AS ends
+        FROM (SELECT conv_id, ks, bs, unnest(range(0, len(ks) + 1)) AS d FROM seqs)
+    ), nodes AS (
+        SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               max(CASE WHEN depth > 0 THEN bs[depth] ELSE 0 END) AS bytes,
+               coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id),
+                        '') AS ended
+        FROM members GROUP BY p, depth
+    ), kids AS (
+        SELECT list_slice(p, 1, depth - 1) AS p, count(*) AS n_children FROM nodes WHERE depth > 0
+        GROUP BY ALL
+    ), above AS (
+        SELECT list_slice(p, 1, a) AS p, (n_convs - 1) * bytes AS saved, n_children IS NULL AS leaf
+        FROM (SELECT nodes.*, n_children, unnest(range(0, depth + 1)) AS a
+              FROM nodes LEFT JOIN kids USING (p))
+    ), sums AS (
+        SELECT p, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (WHERE leaf) AS n_leaves
+        FROM above GROUP BY p
+    )
+    SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs,
+           coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+           sha256(n.ended) AS ends_sha256
+    FROM nodes n JOIN sums USING (p) LEFT JOIN kids USING (p)
+    LEFT JOIN nodes up ON n.depth > 0 AND up.p = list_slice(n.p, 1, n.depth - 1)
+    """,
+)
+def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lend = lambda c: (c - c % 5, crc32_of_id(c) % 9)
+    convs, turns = turn_trie.rebuilt(table(spark, sf_dir, "conversations"), lend)
+    return turn_trie.prefix_nodes(convs, turns)
+
+
 @query("op13_piece_prefix_table")
 def op13_piece_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
