@@ -1,7 +1,5 @@
 """Near duplicates by SimHash, found with Golay-code fuzzy hashing.
 
-Groups by the exact similarity of shingle sets are made in ``similar``.
-
 A 64-bit fingerprint is cut into segments of 23, 23 and 18 bits. The binary Golay
 code of length 23 has one codeword within three bits of every segment. Each
 segment is decoded to the index of its nearest codeword; where that is exactly
@@ -35,9 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.llm import simhash
-from driftline.llm.common import release_memory, ship, small_batches, stored
+from driftline.llm.common import release_memory, ship, small_batches, stored, unused
 from driftline.llm.components import component_roots
-from driftline.llm.similar import keep_one, similar_groups  # noqa: F401
 
 #: First bit and length of each segment.
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -175,5 +172,35 @@ def near_duplicates(
     return rows.join(of_print, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 3,
+    distance: int = DISTANCE,
+) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id.
+
+    Rows without an id stay only where no row of their component has one. Of rows
+    with one id in one component, that of the smallest text digest stays, once.
+    """
+    key = unused(docs, "row")
+    doc_id, sha = F.col(id_col), F.sha2(F.coalesce(text_col, F.lit("")).cast("binary"), 256)
+    ordered = F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("id"), sha.alias("sha"))
+    named = lambda i, s: F.concat_ws(" ", i.cast("string"), s)
+    rows = docs.select(ordered.alias("id"), F.col(text_col).alias("text"))
+    groups = near_duplicates(rows, "id", "text", width, distance)
+    kept = stored(
+        groups.where("doc_id = component_id")
+        .groupBy(named(F.col("doc_id.id"), F.col("doc_id.sha")).alias(key))
+        .agg(F.count("*").alias("rows")),
+        "kept",
+    )
+    left = docs.withColumn(key, named(doc_id, sha)).join(kept.select(key), key, "left_semi")
+    if not kept.where(F.col("rows") > 1).isEmpty():  # the same row more than once
+        left = left.dropDuplicates([key])
+    return left.select(docs.columns)
+
+
 def hex_print(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

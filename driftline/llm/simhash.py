@@ -171,19 +171,3 @@ def fingerprints(texts: list[bytes], width: int = 3) -> np.ndarray:
     """The 64-bit fingerprint of each text, unsigned."""
     out = [_batch(texts[a:b], width) for a, b in in_batches(texts, 2_000_000)]
     return np.concatenate(out) if out else np.empty(0, np.uint64)
-
-
-def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct shingle hashes of the texts, by text and ascending; the text
-    of each; the number of each text's."""
-    texts_of, found = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
-    for text, hashes in _Shingles(texts, width):
-        texts_of.append(text)
-        found.append(hashes)
-    text, hashes = np.concatenate(texts_of), np.concatenate(found)
-    order = np.lexsort((hashes, text))
-    text, hashes = text[order], hashes[order]
-    fresh = np.ones(len(text), bool)
-    fresh[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
-    text, hashes = text[fresh], hashes[fresh]
-    return hashes, text, np.bincount(text, minlength=len(texts))
