@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import text as tx
-from driftline.operators.revisions import assemble, metadata_times, revision_id, with_known_ids
+from driftline.operators.revisions import assemble, known_ids, metadata_times, revision_id
 from driftline.operators.scale import BROADCAST_BYTES, fits_broadcast, skew_join
 
 # Fixed value: the frequency of a word that has none.
@@ -121,8 +121,9 @@ def uncommon_growth(misses: DataFrame) -> DataFrame:
     )
 
 
-def _tally_words(content: DataFrame, by: Sequence[str]) -> DataFrame:
-    """``by, word, count`` where the empty word has a row per revision.
+def _tally_words(content: DataFrame, by: Sequence[str], each: bool = False) -> DataFrame:
+    """``by, id, word, count`` where the empty word has a row per revision; other
+    words have one (without id), or one per revision if ``each`` is set.
 
     Counts equal those of splitting each revision's whole text. Inner words are
     counted piece by piece. The empty words that a split yields at the blank
@@ -135,7 +136,8 @@ def _tally_words(content: DataFrame, by: Sequence[str]) -> DataFrame:
     at_start = F.when((text == "") | text.rlike(r"\A\s"), 1).otherwise(0)
     at_end = F.when((text == "") | text.rlike(r"\s\z"), 1).otherwise(0)
     # One number orders pieces and tells if the piece is empty and has a blank edge.
-    place = F.when(text.isNotNull(), F.col("piece").cast("long") * 4)
+    # A piece without a place counts as a first one; no text has no place.
+    place = F.when(text.isNotNull(), F.coalesce(F.col("piece").cast("long"), F.lit(0)) * 4)
     words = F.coalesce(F.array_remove(tx.spaced_words(text), ""), F.array().cast("array<string>"))
     pieces = content.select(
         *by,
@@ -147,7 +149,8 @@ def _tally_words(content: DataFrame, by: Sequence[str]) -> DataFrame:
     # A second select, so that the edges are looked at once per piece, not per word.
     rows = pieces.select(*by, "id", "head", "tail", F.explode("_w").alias("word"))
     edge = F.col("word").isNull()
-    tally = rows.groupBy(*by, "word", F.when(edge, F.col("id")).alias("id")).agg(
+    owner = F.col("id") if each else F.when(edge, F.col("id"))
+    tally = rows.groupBy(*by, "word", owner.alias("id")).agg(
         F.count("*").alias("n"), F.min("head").alias("head"), F.max("tail").alias("tail")
     )
     one_piece = F.shiftright("head", 2) == F.shiftright("tail", 2)
@@ -157,30 +160,56 @@ def _tally_words(content: DataFrame, by: Sequence[str]) -> DataFrame:
         .otherwise(F.col("head") % 2 + F.col("tail") % 2)
     )
     count = F.when(edge, empty).otherwise(F.col("n")).cast("long")
-    return tally.select(*by, F.coalesce("word", F.lit("")).alias("word"), count.alias("count"))
+    return tally.select(
+        *by, "id", F.coalesce("word", F.lit("")).alias("word"), count.alias("count")
+    )
+
+
+def _with_id(content: DataFrame, ids: DataFrame) -> DataFrame:
+    """Content of the revisions in ``ids``, which is broadcast."""
+    keyed = content.withColumn("_id", revision_id())
+    few = F.broadcast(ids.select(F.col("id").alias("_id")))
+    return keyed.join(few, "_id", "left_semi").drop("_id")
+
+
+def _tally_known(
+    content: DataFrame, meta: DataFrame | None, by: Sequence[str], max_bytes: int
+) -> DataFrame:
+    """The tally of revisions that have metadata, or of all if ``meta`` is None.
+
+    Ids that may be broadcast sort out the texts where they are read. Beyond that
+    words are counted per revision first and the counts meet the ids, so text is not
+    moved either way. A revision's distinct words are bounded by its text.
+    """
+    if meta is None:
+        return _tally_words(content, by)
+    ids = known_ids(meta)
+    if fits_broadcast(ids, max_bytes):
+        return _tally_words(_with_id(content, ids), by)
+    return _tally_words(content, by, each=True).join(ids.hint("merge"), "id", "left_semi")
 
 
-def word_counts(content: DataFrame, meta: DataFrame | None = None) -> DataFrame:
+def word_counts(
+    content: DataFrame, meta: DataFrame | None = None, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Lower-cased white-space words with their counts, over all texts."""
-    if meta is not None:
-        content = with_known_ids(content, meta)
     return (
-        _tally_words(content, [])
+        _tally_known(content, meta, [], max_bytes)
         .groupBy("word")
         .agg(F.sum("count").alias("count"))
         .where(F.col("count") > 0)
     )
 
 
-def word_counts_by_title(content: DataFrame, meta: DataFrame | None = None) -> DataFrame:
+def word_counts_by_title(
+    content: DataFrame, meta: DataFrame | None = None, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Word counts per title, and over all titles where ``all_titles`` is 1.
 
     Both grains are summed from one tally, so the text is read once.
     """
-    if meta is not None:
-        content = with_known_ids(content, meta)
     return (
-        _tally_words(content, ["title"])
+        _tally_known(content, meta, ["title"], max_bytes)
         .groupingSets([["title", "word"], ["word"]], "title", "word")
         .agg(F.sum("count").alias("count"), F.grouping("title").alias("all_titles"))
         .where(F.col("count") > 0)
@@ -223,20 +252,20 @@ def uncommonness(
     Words without a frequency get DEFAULT_FREQUENCY; no words give null. With
     ``meta`` only revisions that have metadata are scored.
     """
-    if meta is not None:
-        content = with_known_ids(content, meta)
+    ids = None if meta is None else known_ids(meta)
+    if ids is not None and fits_broadcast(ids, max_bytes):
+        content, ids = _with_id(content, ids), None
     words = _words(content, tx.unicode_words(F.col("text")))
     known = _looked_up(words, frequencies.select("word", "freq"), "id", max_bytes)
     real = F.col("word") != ""
     weight = F.col("n") / F.coalesce("freq", F.lit(DEFAULT_FREQUENCY))
-    return (
-        known.groupBy("id")
-        .agg(
-            F.sum(F.when(real, weight)).alias("s"),
-            F.sum(F.when(real, F.col("n")).otherwise(0)).alias("c"),
-        )
-        .select(F.col("id").alias("to_id"), F.try_divide("s", "c").alias("uncommon_index"))
+    scored = known.groupBy("id").agg(
+        F.sum(F.when(real, weight)).alias("s"),
+        F.sum(F.when(real, F.col("n")).otherwise(0)).alias("c"),
     )
+    if ids is not None:
+        scored = scored.join(ids.hint("merge"), "id", "left_semi")
+    return scored.select(F.col("id").alias("to_id"), F.try_divide("s", "c").alias("uncommon_index"))
 
 
 def lexicon_score(

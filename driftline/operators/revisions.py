@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from driftline.operators.scale import (
     ROWS_PER_TASK,
     look_back,
-    lookup_join,
     skew_join,
 )
 
@@ -29,12 +28,9 @@ def metadata_times(meta: DataFrame) -> DataFrame:
     )
 
 
-def with_known_ids(content: DataFrame, meta: DataFrame) -> DataFrame:
-    """Content rows of revisions that have metadata."""
-    # Repeated ids do no harm here, so the size check needs no shuffle.
-    ids = meta.select(F.col("id").alias("_id")).where(F.col("_id").isNotNull())
-    keyed = content.withColumn("_id", revision_id())
-    return lookup_join(keyed, ids, ["_id"], "left_semi", spread_by=["piece"]).drop("_id")
+def known_ids(meta: DataFrame) -> DataFrame:
+    """The ``id`` of every metadata record; repeated ones do no harm to a semi-join."""
+    return meta.select("id").where(F.col("id").isNotNull())
 
 
 def revision_content(
@@ -46,17 +42,13 @@ def revision_content(
     return skew_join(keyed, metadata_times(meta), ["id"], "inner", spread_by=["piece"], **extra)
 
 
-def assemble(pieces: DataFrame, keys: Sequence[str], chunked: bool | None = None) -> DataFrame:
+def assemble(pieces: DataFrame, keys: Sequence[str], chunked: bool = False) -> DataFrame:
     """``keys, full_text``: pieces in ``piece`` order, joined with a space.
 
-    Where a revision has very many pieces these are joined in chunks first, by
-    many tasks, and only finished chunks meet. That moves the text twice, so it
-    is done only if the highest piece number calls for it; ``chunked`` decides
-    without looking. The text itself is one value and has to fit a row.
+    The text is one value and has to fit a row. ``chunked`` first joins runs of
+    pieces by many tasks, for revisions of millions of pieces; it moves the text
+    twice.
     """
-    if chunked is None:
-        highest = pieces.agg(F.max("piece").alias("p")).first()["p"]
-        chunked = (highest or 0) >= PIECES_PER_CHUNK
     joined = F.expr("listagg(text, ' ') within group (order by piece)")
     if chunked:
         chunk = F.floor(F.col("piece") / F.lit(PIECES_PER_CHUNK)).cast("long")

@@ -47,6 +47,37 @@ def src_jsonl_roundtrip(spark, sf_dir):
     return landed.read_content(spark, path).select("to_id", "title", "date", "piece", "text")
 
 
+def _landed_content(spark, sf_dir):
+    """Content as it is landed: hunks of a revision one after another, without a
+    number, in one file for each title."""
+    path = scratch_path(spark, "landed-content")
+    hunks = _content_records(spark, sf_dir).withColumn("type", F.lit(1))
+    named = hunks.withColumn("file", F.concat("title", F.lit(landed.CONTENT_SUFFIX)))
+    in_order = named.repartition("file").sortWithinPartitions("file", "to_id", "piece")
+    in_order.drop("piece").write.partitionBy("file").json(path)
+    return landed.read_content(spark, path)
+
+
+@query(
+    "landed_content_text",
+    """SELECT doc_id AS to_id, o_orderdate AS timestamp, replace(text, chr(10), ' ') AS full_text
+FROM documents JOIN orders ON o_orderkey = doc_id""",
+)
+def landed_content_text(spark, sf_dir):
+    return revisions.revision_text(_landed_content(spark, sf_dir), ad.metadata(spark, sf_dir))
+
+
+@query(
+    "landed_content_words",
+    rf"""SELECT source AS title, word, count(*) AS count
+FROM (SELECT source, unnest(string_split_regex(lower(text), '[\s\x0b]+')) AS word FROM documents)
+GROUP BY source, word""",
+)
+def landed_content_words(spark, sf_dir):
+    counts = lexicon.word_counts_by_title(_landed_content(spark, sf_dir))
+    return counts.where("all_titles = 0").select("title", "word", "count")
+
+
 @query(
     "mixed_scan_chars",
     f"""WITH {LINES}

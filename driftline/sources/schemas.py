@@ -23,9 +23,11 @@ REVISION_META = _fields(
     delta=LONG,
     minor=T.BooleanType(),
 )
+# ``type`` and ``lineNumber`` are those of the hunk; ``piece`` is absent as landed.
 REVISION_CONTENT = _fields(
-    from_id=STRING, to_id=STRING, title=STRING, date=STRING, piece=LONG, text=STRING
-)
+    from_id=STRING, to_id=STRING, title=STRING, date=STRING, piece=LONG,
+    type=INT, lineNumber=INT, text=STRING,
+)
 MIXED = T.StructType(
     REVISION_META.fields + [f for f in REVISION_CONTENT.fields if f.name != "title"]
 )

@@ -108,6 +108,41 @@ def test_word_counts_skip_unknown_revisions(content, meta):
     assert got["delve"] == 2 and got[""] == 2
 
 
+def exchanged(df):
+    """Names of the columns that each shuffle of a plan moves."""
+    plans, found = [df._jdf.queryExecution().sparkPlan(), df._jdf.queryExecution().executedPlan()], []
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            plan = plan.initialPlan()
+        if "Exchange" in plan.nodeName():
+            output = plan.output()
+            found.append({output.apply(i).name() for i in range(output.size())})
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return found
+
+
+@pytest.mark.parametrize("max_bytes", [0, 1 << 26])
+def test_counting_never_shuffles_text(spark, content, meta, max_bytes):
+    """Also where neither the ids nor the frequencies may be broadcast."""
+    freq = spark.createDataFrame([("ai", 0.5)], "word string, freq double")
+    plain = lexicon.word_counts(content, meta)
+    for df, want in (
+        (lexicon.word_counts(content, meta, max_bytes), plain),
+        (lexicon.word_counts_by_title(content, meta, max_bytes), lexicon.word_counts_by_title(content, meta)),
+        (lexicon.uncommonness(content, freq, meta, max_bytes), lexicon.uncommonness(content, freq, meta)),
+    ):
+        moved = exchanged(df)
+        assert moved and not any(columns & {"text", "_w"} for columns in moved)
+        assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_pieces_without_a_place(spark):
+    df = spark.createDataFrame([("1", "t", None, t) for t in ("a b", "c d", "x")], CONTENT)
+    got = {r["word"]: r["count"] for r in lexicon.word_counts(df).collect()}
+    assert got == dict.fromkeys("abcdx", 1)
+
+
 def test_word_counts_by_title(content, rows):
     both = lexicon.word_counts_by_title(content)
     totals = both.where("all_titles = 1").select("word", "count")

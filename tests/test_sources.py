@@ -1,10 +1,13 @@
 import json
 import os
+import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from driftline.operators import revisions
+from driftline.operators import lexicon, revisions
 from driftline.session import scratch_path, shared_dir
 from driftline.sources import landed, schemas, sinks
 from driftline.streaming import ingest
@@ -206,3 +209,30 @@ def test_counts_grow_and_late_rows_are_dropped(spark, tmp_path):
         latest = ingest.latest_counts(spark, out).orderBy(F.col("start"))
         seen.append([r["n"] for r in latest.collect()])
     assert seen == [[2], [3, 1], [3, 1]]
+
+
+def test_content_without_pieces_keeps_the_order_of_its_file(spark, tmp_path):
+    """Also where a file is read by several tasks, and where edges are blank."""
+    rng = random.Random(8)
+    texts = {}
+    with open(tmp_path / f"a{landed.CONTENT_SUFFIX}", "w") as out:
+        for rev in rng.sample(range(300), 300):
+            hunks = [" ".join(rng.choices(["a", "b", " c", ""], k=40)) for _ in range(rng.randint(1, 30))]
+            texts[rev] = hunks
+            for line, text in enumerate(hunks):
+                record = {"from_id": "0", "to_id": str(rev), "title": "a", "type": 1,
+                          "lineNumber": line, "text": text}
+                out.write(json.dumps(record) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 65536)
+    try:
+        content = landed.read_content(spark, str(tmp_path))
+        assert content.rdd.getNumPartitions() > 5
+        meta = spark.range(300).selectExpr("id", "timestamp_ntz'2020-01-01' AS timestamp")
+        got = {r["to_id"]: r["full_text"] for r in revisions.revision_text(content, meta).collect()}
+        assert got == {rev: " ".join(hunks) for rev, hunks in texts.items()}
+        counts = {r["word"]: r["count"] for r in lexicon.word_counts(content).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = Counter(w for hunks in texts.values() for w in re.split(r"\s+", " ".join(hunks)))
+    assert counts == want
+    assert {"type", "lineNumber"} <= set(content.columns)
