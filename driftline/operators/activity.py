@@ -162,6 +162,71 @@ def reversals(
     )
 
 
+def reverts(history: DataFrame, state: str, within_days: int) -> DataFrame:
+    """Which edits bring back an earlier state, and which edits that undoes.
+
+    ``history`` has ``title, id, timestamp`` and the column ``state``. An edit is a
+    revert if its state was last seen at most ``within_days`` days before, and other
+    states came in between. Adds ``is_revert``, ``reverted_to`` (the id of that last
+    equal state), ``undoes`` (the edits in between) and ``is_undone`` (whether a
+    later revert reaches back before this edit). A null state is never brought back.
+
+    No title is held in one task. Time is cut into buckets of ``within_days``; each
+    row works in its own bucket and is copied into both neighbours, so all that an
+    edit can look back or ahead to is with it, however many edits a title has.
+    """
+    seconds = within_days * 86400
+    time = F.unix_timestamp(F.col("timestamp").cast("timestamp"))
+    home = F.floor(F.col("_t") / F.lit(seconds)).cast("long")
+    spots = F.array(home - 1, home, home + 1)
+    placed = (
+        history.withColumn("_t", time)
+        .withColumn("_home", home)
+        .withColumn("_bucket", F.explode(spots))
+    )
+    inside = Window.partitionBy("title", "_bucket").orderBy("timestamp", "id")
+    same = Window.partitionBy("title", "_bucket", state).orderBy("timestamp", "id")
+    last = F.lag(F.struct("_t", "_pos", "id")).over(same)
+    seen = placed.withColumn("_pos", F.row_number().over(inside)).withColumn("_last", last)
+    found = (
+        F.col(state).isNotNull()
+        & (F.col("_t") - F.col("_last._t") <= seconds)
+        & (F.col("_pos") - F.col("_last._pos") > 1)
+    )
+    marked = seen.withColumn("is_revert", F.coalesce(found, F.lit(False)))
+    reaches = F.when(F.col("is_revert"), F.col("_last._pos"))
+    ahead = inside.rowsBetween(1, Window.unboundedFollowing)
+    undone = F.coalesce(F.min(reaches).over(ahead) < F.col("_pos"), F.lit(False))
+    return (
+        marked.withColumn("is_undone", undone)
+        .where(F.col("_bucket") == F.col("_home"))
+        .withColumn("reverted_to", F.when(F.col("is_revert"), F.col("_last.id")))
+        .withColumn(
+            "undoes",
+            F.when(F.col("is_revert"), F.col("_pos") - F.col("_last._pos") - 1).otherwise(0),
+        )
+        .drop("_t", "_home", "_bucket", "_pos", "_last")
+    )
+
+
+def edit_bursts(
+    edits: DataFrame, gap: str, at_least: int = 1, user: str = "user", ts: str = "timestamp"
+) -> DataFrame:
+    """``user, start, stop, edits``: runs of a user's edits with at most ``gap``
+    between neighbours, of ``at_least`` edits.
+
+    ``ts`` is a point in time (``timestamp``). Works on a table as on a stream, which
+    needs a watermark and gives a burst once no edit can join it any more; ``stop``
+    is the last edit.
+    """
+    runs = edits.groupBy(user, F.session_window(ts, gap).alias("_w")).agg(
+        F.count("*").alias("edits"), F.max(ts).alias("stop")
+    )
+    return runs.where(F.col("edits") >= at_least).select(
+        user, F.col("_w.start").alias("start"), "stop", "edits"
+    )
+
+
 def avg_edit_size(content: DataFrame, date: str = "date") -> DataFrame:
     return content.groupBy(dt.month_start(F.col(date)).alias("month")).agg(
         F.avg(F.length("text")).alias("avg_edit_size"), F.count("text").alias("edits")

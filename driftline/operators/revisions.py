@@ -108,6 +108,14 @@ def revision_pairs(meta: DataFrame, rows_per_task: int | None = ROWS_PER_TASK) -
     )
 
 
+def previous_ids(history: DataFrame, rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
+    """``title, id, previous_id``; only ids take part in the ordering."""
+    return look_back(
+        history.select("title", "id", "timestamp"),
+        ["title"], _oldest_first(), 1, {"previous_id": F.lag("id", 1)}, rows_per_task,
+    ).drop("timestamp")
+
+
 def revision_line_diff(history: DataFrame, rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
     """Lines added (+n) and removed (-n) by each revision after the first.
 
@@ -115,10 +123,7 @@ def revision_line_diff(history: DataFrame, rows_per_task: int | None = ROWS_PER_
     own revision and -1 for the next one; what does not cancel out has changed.
     Repeated lines are counted, not merged. Only ids take part in the ordering.
     """
-    ids = history.select("title", "id", "timestamp")
-    back = look_back(
-        ids, ["title"], _oldest_first(), 1, {"previous_id": F.lag("id", 1)}, rows_per_task
-    ).drop("timestamp")
+    back = previous_ids(history, rows_per_task)
     later = back.where(F.col("previous_id").isNotNull()).select(
         "title", F.col("previous_id").alias("id"), F.col("id").alias("next_id")
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions import dates as dt
-from driftline.operators.scale import ROWS_PER_TASK, look_back
+from driftline.operators.scale import ROWS_PER_TASK, look_back, running_total
 
 
 def monthly_counts(rows: DataFrame, ts: str, since: str | None = None) -> DataFrame:
@@ -239,3 +239,46 @@ def peaks(
     return series.withColumn("z", z).withColumn(
         "is_peak", F.coalesce(F.col("z") >= threshold, F.lit(False))
     )
+
+
+def change_points(
+    series: DataFrame,
+    order: str,
+    value: str,
+    group: Sequence[str] = (),
+    rows_per_task: int | None = ROWS_PER_TASK,
+) -> DataFrame:
+    """Where each series changes its level most, by cumulative sums (CUSUM).
+
+    ``value`` is whole-numbered and ``order`` unique in a series. The sum of the
+    deviations from the mean, up to each step and n-fold to stay whole, is
+    n * prefix - step * total; the change comes after the step where it is farthest
+    from 0, the earliest of equals. Returns ``group, last_before, deviation, steps,
+    steps_before, mean_before, mean_after``; a series that never deviates has none.
+    Prefixes are running totals, so a series may be longer than a task can hold.
+    """
+    keys = list(group) or ["_all"]  # one series still needs a key to join on
+    every = series if group else series.withColumn("_all", F.lit(0))
+    rows = every.where(F.col(value).isNotNull()).select(*keys, order, value)
+    whole = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.sum(value).alias("_total"))
+    first = [F.asc(order)]
+    summed = running_total(rows, keys, first, F.col(value).cast("long"), "_prefix", rows_per_task)
+    summed = running_total(summed, keys, first, F.lit(1).cast("long"), "_step", rows_per_task)
+    joined = summed.join(whole, keys)
+    off = F.col("_n") * F.col("_prefix") - F.col("_step") * F.col("_total")
+    best = F.max_by(
+        F.struct(order, "_off", "_n", "_total", "_prefix", "_step"),
+        F.struct(F.abs("_off"), -F.col("_step")),
+    )
+    picked = joined.withColumn("_off", off).groupBy(*keys).agg(best.alias("_b"))
+    return picked.where("_b._off <> 0").select(
+        *group,
+        F.col(f"_b.{order}").alias("last_before"),
+        F.abs("_b._off").alias("deviation"),
+        F.col("_b._n").alias("steps"),
+        F.col("_b._step").alias("steps_before"),
+        (F.col("_b._prefix") / F.col("_b._step")).alias("mean_before"),
+        (
+            (F.col("_b._total") - F.col("_b._prefix")) / (F.col("_b._n") - F.col("_b._step"))
+        ).alias("mean_after"),
+    )

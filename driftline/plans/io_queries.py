@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftline.functions import dates as dt
-from driftline.operators import lexicon, revisions
+from driftline.operators import activity, lexicon, revisions
 from driftline.plans import adapters as ad
 from driftline.plans.registry import query
 from driftline.plans.text_queries import LINES
@@ -378,3 +378,73 @@ def stream_windowed_counts(spark, sf_dir):
     )
     counts = ingest.latest_counts(spark, f"{base}/updates")
     return counts.select(F.unix_timestamp("start").alias("start_second"), "n")
+
+
+@query(
+    "stream_closed_windows",
+    """WITH w AS (
+  SELECT CAST(floor(epoch(o_orderdate) / 2592000) * 2592000 AS BIGINT) AS start_second,
+         count(*) AS n FROM orders GROUP BY 1)
+SELECT start_second, start_second + 2592000 AS end_second, n FROM w
+WHERE start_second + 2592000 <= (SELECT epoch(max(o_orderdate)) - 864000 FROM orders)""",
+)
+def stream_closed_windows(spark, sf_dir):
+    """Older orders arrive first; the rest comes with a file of late repeats of them,
+    after a restart. A third run finds nothing new."""
+    base = scratch_path(spark, "closed")
+    orders = ad.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    newer = F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")
+    late = F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")
+    files = [[orders.where(~newer)], [orders.where(newer), orders.where(late)], []]
+    for arrived in files:
+        for part in arrived:
+            part.write.mode("append").parquet(f"{base}/files")
+        stream = ingest.arriving(spark, f"{base}/files", orders.schema, "parquet")
+        ingest.closed_windows(
+            stream, "o_orderdate", "30 days", "10 days", f"{base}/table", f"{base}/checkpoint"
+        )
+    return spark.read.parquet(f"{base}/table").select(
+        F.unix_timestamp("start").alias("start_second"),
+        F.unix_timestamp("end").alias("end_second"), "n",
+    )
+
+
+BURSTS = """runs AS (
+  SELECT user_id, ts, sum(CASE WHEN ts - before <= INTERVAL 6 HOUR THEN 0 ELSE 1 END)
+           OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run
+  FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events)),
+bursts AS (
+  SELECT user_id AS user, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) AS stop_us,
+         count(*) AS edits
+  FROM runs GROUP BY user_id, run HAVING count(*) >= 3)"""
+
+
+def _burst_columns(bursts):
+    return bursts.select(
+        "user", F.unix_micros("start").alias("start_us"), F.unix_micros("stop").alias("stop_us"),
+        "edits",
+    )
+
+
+@query("edit_bursts", f"WITH {BURSTS} SELECT user, start_us, stop_us, edits FROM bursts")
+def edit_bursts(spark, sf_dir):
+    instant = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
+    events = ad.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("user"), instant.alias("timestamp")
+    )
+    return _burst_columns(activity.edit_bursts(events, "6 hours", 3))
+
+
+@query(
+    "stream_edit_bursts",
+    f"""WITH {BURSTS} SELECT user, start_us, stop_us, edits FROM bursts
+WHERE stop_us + 21600000000 <= (SELECT epoch_us(max(ts)) // 1000 * 1000 - 3600000000 FROM events)""",
+)
+def stream_edit_bursts(spark, sf_dir):
+    base = scratch_path(spark, "bursts")
+    schema = ad.table(spark, sf_dir, "events").schema
+    events = ingest.arriving(spark, f"{sf_dir}/events*.parquet", schema, "parquet").select(
+        F.col("user_id").alias("user"), F.col("ts").alias("timestamp")
+    )
+    ingest.closed_bursts(events, "6 hours", 3, "1 hour", f"{base}/table", f"{base}/checkpoint")
+    return _burst_columns(spark.read.parquet(f"{base}/table"))

@@ -436,6 +436,64 @@ def reversals(spark, sf_dir):
     return marked.select("title", "id", "is_reversal", "is_large")
 
 
+@query(
+    "reverts",
+    """WITH o AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS title, o_orderkey AS id, o_orderdate AS ts,
+         o_orderstatus AS state,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS pos
+  FROM orders),
+r AS (
+  SELECT a.title, a.id, a.pos, max(b.pos) AS back
+  FROM o a JOIN o b ON a.title = b.title AND a.state = b.state AND b.pos < a.pos
+    AND epoch(a.ts) - epoch(b.ts) <= 365 * 86400
+  GROUP BY ALL HAVING a.pos - max(b.pos) > 1),
+u AS (SELECT DISTINCT o.title, o.pos FROM o
+      JOIN r ON r.title = o.title AND r.back < o.pos AND o.pos < r.pos)
+SELECT o.title, o.id, r.id IS NOT NULL AS is_revert, b.id AS reverted_to,
+       CAST(coalesce(r.pos - r.back - 1, 0) AS INTEGER) AS undoes, u.pos IS NOT NULL AS is_undone
+FROM o LEFT JOIN r ON r.title = o.title AND r.pos = o.pos
+LEFT JOIN o b ON b.title = r.title AND b.pos = r.back
+LEFT JOIN u ON u.title = o.title AND u.pos = o.pos""",
+)
+def reverts(spark, sf_dir):
+    rows = ad.metadata(spark, sf_dir).select(
+        F.col("user").cast("string").alias("title"), "id", "timestamp", "state"
+    )
+    return activity.reverts(rows, "state", 365).select(
+        "title", "id", "is_revert", "reverted_to", "undoes", "is_undone"
+    )
+
+
+@query(
+    "change_points",
+    """WITH m AS (
+  SELECT o_orderpriority AS title, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+         count(*) AS x
+  FROM orders GROUP BY ALL),
+s AS (
+  SELECT title, month, sum(x) OVER w AS prefix, row_number() OVER w AS step,
+         sum(x) OVER (PARTITION BY title) AS total, count(*) OVER (PARTITION BY title) AS n
+  FROM m WINDOW w AS (PARTITION BY title ORDER BY month)),
+d AS (
+  SELECT *, abs(n * prefix - step * total) AS dev,
+         row_number() OVER (PARTITION BY title ORDER BY abs(n * prefix - step * total) DESC, step)
+           AS pick
+  FROM s)
+SELECT title, month AS last_before, CAST(dev AS BIGINT) AS deviation, n AS steps,
+       step AS steps_before, round(prefix / step, 6) AS mean_before,
+       round((total - prefix) / (n - step), 6) AS mean_after
+FROM d WHERE pick = 1 AND dev > 0""",
+)
+def change_points(spark, sf_dir):
+    points = series.change_points(
+        ad.monthly_by_title(spark, sf_dir), "month", "revisions", ["title"], rows_per_task=None
+    )
+    return points.withColumns(
+        {c: F.round(c, 6) for c in ("mean_before", "mean_after")}
+    )
+
+
 @query(
     "peak_detection",
     f"""WITH {MONTHS},

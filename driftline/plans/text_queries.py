@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftline.functions import text as tx
-from driftline.operators import activity, lexicon, revisions, sentences
+from driftline.operators import activity, lexicon, line_diff, revisions, sentences
 from driftline.plans import adapters as ad
 from driftline.plans.registry import query
 
@@ -366,9 +366,7 @@ def revision_pairs(spark, sf_dir):
     return revisions.revision_pairs(ad.metadata(spark, sf_dir))
 
 
-@query(
-    "revision_line_diff",
-    """WITH v AS (
+LINE_DIFF = """WITH v AS (
   SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS before, text
   FROM conversations),
 l AS (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM conversations),
@@ -383,12 +381,36 @@ SELECT CAST(coalesce(a.conv_id, b.conv_id) AS VARCHAR) AS title,
        coalesce(a.line, b.line) AS line, coalesce(a.n, 0) - coalesce(b.n, 0) AS change
 FROM news a FULL JOIN olds b
   ON a.conv_id = b.conv_id AND a.turn = b.turn AND a.line = b.line
-WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""",
-)
+WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)"""
+
+
+@query("revision_line_diff", LINE_DIFF)
 def revision_line_diff(spark, sf_dir):
     return revisions.revision_line_diff(ad.history(spark, sf_dir))
 
 
+@query("revision_hunks_net", LINE_DIFF)
+def revision_hunks_net(spark, sf_dir):
+    """Ordered hunks summed up by line, which must give the difference as bags."""
+    hunks = line_diff.revision_hunks(ad.history(spark, sf_dir))
+    change = F.sum(F.when(F.col("type") == line_diff.ADDED, 1).otherwise(-1))
+    return (
+        hunks.groupBy("title", "from_id", "to_id", F.col("text").alias("line"))
+        .agg(change.alias("change"))
+        .where(F.col("change") != 0)
+    )
+
+
+@query(
+    "revision_rebuilt",
+    """SELECT CAST(conv_id AS VARCHAR) AS title, turn AS id, coalesce(text, '') AS text
+FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) > 1""",
+)
+def revision_rebuilt(spark, sf_dir):
+    history = ad.history(spark, sf_dir)
+    return line_diff.rebuilt_texts(history, line_diff.revision_hunks(history))
+
+
 @query(
     "worklist_anti",
     """SELECT DISTINCT c_name AS title FROM customer

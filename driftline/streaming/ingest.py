@@ -1,4 +1,4 @@
-"""Incremental landing: new files only, monthly counts, duplicate removal.
+"""Incremental landing: new files only, counts, bursts, duplicate removal.
 
 Every query runs with ``availableNow``: it takes what has arrived since its last
 run, resumes from its checkpoint, and stops. Checkpoints and results belong in
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftline.operators.activity import edit_bursts
+
 
 def arriving(spark: SparkSession, path: str, schema: T.StructType, kind: str = "json") -> DataFrame:
     return spark.readStream.schema(schema).format(kind).load(path)
@@ -24,8 +26,13 @@ def _instant(stream: DataFrame, ts: str) -> DataFrame:
     return stream.withColumn(ts, column.cast("timestamp"))
 
 
-def land_new_files(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Append what arrived to a table; a file already taken is not taken again."""
+def land_new_files(stream: DataFrame, out: str, checkpoint: str) -> int:
+    """Append what arrived to a table; a file already taken is not taken again.
+
+    Returns how many rows came too late for the watermark, as the stateful operators
+    of the stream count them: a windowed count meets late rows already summed up, so
+    those of one window and task are one. 0 without a watermark.
+    """
     query = (
         stream.writeStream.format("parquet")
         .option("path", out)
@@ -34,6 +41,11 @@ def land_new_files(stream: DataFrame, out: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )
 
 
 def without_repeats(
@@ -44,6 +56,29 @@ def without_repeats(
     land_new_files(timed.dropDuplicatesWithinWatermark([key]), out, checkpoint)
 
 
+def closed_windows(
+    stream: DataFrame, ts: str, window: str, delay: str, out: str, checkpoint: str
+) -> int:
+    """Append the count of each time window once, when it can't change any more.
+
+    A window closes when the newest row is ``delay`` past its end; its state is then
+    released, so state holds the open windows only. Later rows for it are dropped,
+    and their number is returned. A run goes on where the last one stopped.
+    """
+    timed = _instant(stream, ts).withWatermark(ts, delay)
+    counts = timed.groupBy(F.window(ts, window).alias("w")).agg(F.count("*").alias("n"))
+    return land_new_files(counts.select("w.start", "w.end", "n"), out, checkpoint)
+
+
+def closed_bursts(
+    stream: DataFrame, gap: str, at_least: int, delay: str, out: str, checkpoint: str,
+    user: str = "user", ts: str = "timestamp",
+) -> int:
+    """Append each burst of ``activity.edit_bursts`` once no edit can join it."""
+    timed = _instant(stream, ts).withWatermark(ts, delay)
+    return land_new_files(edit_bursts(timed, gap, at_least, user, ts), out, checkpoint)
+
+
 def windowed_counts(
     stream: DataFrame, ts: str, window: str, delay: str, out: str, checkpoint: str
 ) -> None:

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftline.operators import lexicon, revisions
 from driftline.session import scratch_path, shared_dir
@@ -236,3 +237,26 @@ def test_content_without_pieces_keeps_the_order_of_its_file(spark, tmp_path):
     want = Counter(w for hunks in texts.values() for w in re.split(r"\s+", " ".join(hunks)))
     assert counts == want
     assert {"type", "lineNumber"} <= set(content.columns)
+
+
+def test_closed_windows_once_and_late_rows_counted(spark, tmp_path):
+    """A window comes once, when it is closed; late rows don't change it."""
+    out, at = str(tmp_path / "out"), str(tmp_path / "at")
+
+    def run(*days):
+        spark.createDataFrame([(f"2020-01-{d:02d} 12:00:00",) for d in days], "ts string").select(
+            F.col("ts").cast("timestamp")
+        ).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = ingest.arriving(spark, str(tmp_path / "in"), T.StructType([T.StructField('ts', T.TimestampType())]), "parquet")
+        return ingest.closed_windows(stream, "ts", "1 day", "2 days", out, at)
+
+    def closed():
+        return {(r["start"].day, r["n"]) for r in spark.read.parquet(out).collect()}
+
+    assert run(1, 1, 2, 5) == 0
+    assert closed() == {(1, 2), (2, 1)}
+    assert run(2, 6, 4) == 1  # the second of January is closed, the fourth is not
+    assert closed() == {(1, 2), (2, 1)}
+    assert run(9) == 0
+    assert closed() == {(1, 2), (2, 1), (4, 1), (5, 1), (6, 1)}
+    assert spark.read.parquet(out).count() == 5
