@@ -12,6 +12,7 @@ from driftline.operators import (
     revisions,
     sentences,
     series,
+    spectrum,
     traffic,
 )
 from driftline.plans import adapters as ad
@@ -257,10 +258,10 @@ SELECT title, CAST(k AS INTEGER) AS k, CAST(n AS INTEGER) AS n, round(frequency,
        round(magnitude, 4) AS magnitude FROM spectrum""",
 )
 def dft_spectrum(spark, sf_dir):
-    spectrum = series.dft_spectrum(
+    found = series.dft_spectrum(
         ad.monthly_by_title(spark, sf_dir), ["title"], "month", "revisions"
     )
-    return spectrum.withColumns(
+    return found.withColumns(
         {"frequency": F.round("frequency", 9), "magnitude": F.round("magnitude", 4)}
     )
 
@@ -286,6 +287,39 @@ def dominant_period(spark, sf_dir):
     )
 
 
+def _fourier_sql(points: str) -> str:
+    return f"""WITH pts AS ({points}),
+num AS (SELECT x, row_number() OVER (ORDER BY step) - 1 AS j, count(*) OVER () AS n FROM pts)
+SELECT n, k, round(k / n, 9) AS frequency,
+       round(sqrt(pow(sum(x * cos(2 * pi() * ((k * j) % n) / n)), 2) +
+                  pow(sum(x * sin(2 * pi() * ((k * j) % n) / n)), 2)), 4) AS magnitude
+FROM (SELECT *, unnest(generate_series(0, n // 2)) AS k FROM num) GROUP BY n, k"""
+
+
+def _fourier(rows, step):
+    counts = rows.groupBy(step.alias("step")).agg(F.count("*").alias("x"))
+    found = spectrum.fourier(counts, [], [F.asc("step")], "x", rows_per_task=None)
+    return found.withColumns(
+        {"frequency": F.round("frequency", 9), "magnitude": F.round("magnitude", 4)}
+    )
+
+
+@query(
+    "fourier_daily",
+    _fourier_sql("SELECT CAST(o_orderdate AS DATE) AS step, count(*) AS x FROM orders GROUP BY 1"),
+)
+def fourier_daily(spark, sf_dir):
+    return _fourier(ad.table(spark, sf_dir, "orders"), F.to_date("o_orderdate"))
+
+
+@query(
+    "fourier_hourly",
+    _fourier_sql("SELECT date_trunc('hour', ts) AS step, count(*) AS x FROM events GROUP BY 1"),
+)
+def fourier_hourly(spark, sf_dir):
+    return _fourier(ad.table(spark, sf_dir, "events"), F.date_trunc("hour", "ts"))
+
+
 @query(
     "category_trend_period",
     """WITH pts AS (SELECT strftime(o_orderdate, '%Y%m') AS month,
