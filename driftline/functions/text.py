@@ -50,6 +50,16 @@ def unicode_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
 
 
+def word_sequences(words: Column, n: int) -> Column:
+    """Every run of ``n`` words, joined with a space, in order; none if there are fewer.
+
+    ``words`` is looked at for every run, so it should be a plain column.
+    """
+    places = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
+    runs = F.transform(places, lambda i: F.array_join(F.slice(words, i, n), " "))
+    return F.coalesce(runs, F.array().cast("array<string>"))
+
+
 def punctuated(text: Column) -> Column:
     """Blank out what is neither an ASCII word character, space nor . , ! ?"""
     return F.regexp_replace(text, NOT_SENTENCE, " ")

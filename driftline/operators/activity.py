@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from driftline.functions import dates as dt
 from driftline.functions import text as tx
-from driftline.operators.scale import ROWS_PER_TASK, look_back, running_total
+from driftline.operators.scale import (
+    BROADCAST_BYTES,
+    ROWS_PER_TASK,
+    fits_broadcast,
+    look_back,
+    running_total,
+)
+from driftline.session import written
 
 
 def edits_per_user(meta: DataFrame, baseline_until: int) -> DataFrame:
@@ -233,23 +240,175 @@ def avg_edit_size(content: DataFrame, date: str = "date") -> DataFrame:
     )
 
 
+def _phrases(texts: DataFrame, words: int, text: str, *keep: str) -> DataFrame:
+    """``keep.., _grams``: hash and spelling of every phrase, by its place."""
+    # Columns of their own, so that no step is worked out again for every phrase.
+    cut = texts.select(*keep, tx.unicode_words(F.col(text)).alias("_w")).where(
+        F.size("_w") >= words
+    )
+    return cut.select(*keep, tx.word_sequences(F.col("_w"), words).alias("_p")).select(
+        *keep,
+        F.transform("_p", lambda p: F.struct(F.xxhash64(p).alias("h"), p.alias("phrase"))).alias(
+            "_grams"
+        ),
+    )
+
+
+def _repeated_hashes(texts: DataFrame, words: int, at_least: int, text: str) -> DataFrame:
+    """Hashes of phrases that ``at_least`` texts or more have; written.
+
+    Arrays are laid out by the outer forms here and below: the others make the
+    optimizer test the array where the text is read, which works out all of a text's
+    words again for every phrase.
+    """
+    hashes = F.array_distinct(F.transform("_grams", lambda g: g["h"]))
+    return written(
+        _phrases(texts, words, text)
+        .select(F.explode_outer(hashes).alias("h"))
+        .where(F.col("h").isNotNull())
+        .groupBy("h")
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") >= at_least)
+        .select("h")
+    )
+
+
+def _repeats(
+    texts: DataFrame, words: int, at_least: int, text: str, key: str, max_bytes: int
+) -> DataFrame:
+    """``key, at, phrase`` for every place of a phrase whose hash is repeated. Phrases
+    are spelled out where the text is read and leave that task only if they survive;
+    beyond a broadcast, hashes and places alone are joined, then the texts found."""
+    hashes = _repeated_hashes(texts, words, at_least, text)
+    grams = _phrases(texts, words, text, key)
+    if fits_broadcast(hashes, max_bytes):
+        laid = grams.select(key, F.posexplode_outer("_grams").alias("at", "_g"))
+        spelled = laid.select(key, "at", "_g.h", "_g.phrase")
+        return spelled.join(F.broadcast(hashes), "h", "left_semi").drop("h")
+    placed = grams.select(
+        key, F.posexplode_outer(F.transform("_grams", lambda g: g["h"])).alias("at", "h")
+    )
+    found = placed.join(hashes.hint("merge"), "h", "left_semi")
+    places = found.groupBy(key).agg(F.collect_list("at").alias("_places"))
+    chosen = F.transform(
+        "_places", lambda i: F.struct(i.alias("at"), F.get("_grams", i)["phrase"].alias("phrase"))
+    )
+    return grams.join(places, key).select(key, F.inline_outer(chosen))
+
+
 def phrase_overlap(
-    texts: DataFrame, words: int = 5, at_least: int = 2, text: str = "text"
+    texts: DataFrame,
+    words: int = 5,
+    at_least: int = 2,
+    text: str = "text",
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Phrases of ``words`` words found in ``at_least`` texts or more.
 
-    One row of ``texts`` is one text; a phrase counts once per text, so equal
-    phrases are merged inside the row and counted before the shuffle.
+    One row of ``texts`` is one text; a phrase counts once per text. Phrases are
+    first counted by their 64-bit hashes; only those that reach ``at_least`` are
+    spelled out and counted as what they are.
     """
-    pieces = tx.unicode_words(F.col(text))
-    cut = texts.select(pieces.alias("w")).where(F.size("w") >= words)
-    phrases = F.transform(
-        F.sequence(F.lit(1), F.size("w") - (words - 1)),
-        lambda i: F.array_join(F.slice("w", i, words), " "),
-    )
+    hashes = _repeated_hashes(texts, words, at_least, text)
+    # Distinct as strings: arrays of structs are made distinct pair by pair.
+    phrases = F.array_distinct(F.transform("_grams", lambda g: g["phrase"]))
+    spelled = _phrases(texts, words, text).select(F.explode_outer(phrases).alias("phrase"))
+    few = F.broadcast(hashes) if fits_broadcast(hashes, max_bytes) else hashes.hint("merge")
     return (
-        cut.select(F.explode(F.array_distinct(phrases)).alias("phrase"))
+        spelled.withColumn("h", F.xxhash64("phrase"))
+        .join(few, "h", "left_semi")
         .groupBy("phrase")
         .agg(F.count("*").alias("texts"))
         .where(F.col("texts") >= at_least)
     )
+
+
+def repeated_passages(
+    texts: DataFrame,
+    key: str,
+    words: int = 5,
+    at_least: int = 2,
+    text: str = "text",
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``key, begin, words, passage``: the longest stretches of each text in which
+    every phrase of ``words`` words is in ``at_least`` texts or more.
+
+    ``begin`` counts words from 0. A stretch ends where one more word would bring in
+    a phrase that isn't repeated, so stretches of one text neither touch nor nest.
+    ``key`` is unique.
+    """
+    found = written(_repeats(texts, words, at_least, text, key, max_bytes))
+    # Different phrases may share a hash, so the spelled ones are counted again.
+    once = found.select(key, "phrase").distinct().groupBy("phrase").agg(F.count("*").alias("n"))
+    rare = written(once.where(F.col("n") < at_least).select("phrase"))
+    kept = found.join(rare, "phrase", "left_anti")
+    order = Window.partitionBy(key).orderBy("at")
+    grouped = kept.withColumn("_run", F.col("at") - F.row_number().over(order))
+    last_word = F.substring_index("phrase", " ", -1)
+    first = F.min_by("phrase", "at")
+    tail = F.expr("listagg(_last, ' ') within group (order by at)")
+    return (
+        grouped.withColumn("_last", last_word)
+        .groupBy(key, "_run")
+        .agg(
+            F.min("at").cast("long").alias("begin"),
+            (F.count("*") + words - 1).alias("words"),
+            first.alias("_first"),
+            tail.alias("_tail"),
+        )
+        .select(
+            key, "begin", "words",
+            # The tail repeats the last word of the first phrase.
+            F.concat(
+                F.substring_index("_first", " ", words - 1) if words > 1 else F.lit(""),
+                F.lit(" " if words > 1 else ""), "_tail",
+            ).alias("passage"),
+        )
+    )
+
+
+def phrase_frequency(
+    content: DataFrame, phrases: DataFrame, date: str = "date", max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``month, phrase, occurrences, texts`` for a table of phrases of any size.
+
+    ``phrases`` has one column ``phrase``; words are compared, lower-cased, so what
+    stands between two words doesn't matter. Texts are read once, whatever the number
+    of phrases: their word sequences of the lengths that occur among the phrases meet
+    the table. Where it can't be broadcast, sequences are counted by month first.
+    Phrases that are nowhere found have no row.
+    """
+    told = tx.unicode_words(F.col("phrase"))
+    listed = written(
+        phrases.select(told.alias("w"))
+        .where(F.size("w") > 0)
+        .select(F.array_join("w", " ").alias("phrase"), F.size("w").alias("size"))
+        .distinct()
+    )
+    # One number for each length that occurs; a row holds them.
+    sizes = listed.agg(F.sort_array(F.collect_set("size")).alias("s")).first()["s"]
+    cut = content.select(
+        dt.month_start(F.col(date)).alias("month"), tx.unicode_words(F.col("text")).alias("w")
+    )
+    grams = F.concat(*[tx.word_sequences(F.col("w"), n) for n in sizes or [1]])
+    ordered = cut.select("month", F.sort_array(grams).alias("_g"))
+    marked = F.transform(
+        "_g",
+        lambda g, i: F.struct(
+            g.alias("phrase"),
+            F.when((i > 0) & (F.get("_g", i - 1) == g), 0).otherwise(1).alias("first"),
+        ),
+    )
+    laid = ordered.select("month", F.inline_outer(marked))
+    known = listed.select("phrase")
+    if fits_broadcast(known, max_bytes):
+        return (
+            laid.join(F.broadcast(known), "phrase", "left_semi")
+            .groupBy("month", "phrase")
+            .agg(F.count("*").alias("occurrences"), F.sum("first").alias("texts"))
+        )
+    counted = laid.groupBy("month", "phrase").agg(
+        F.count("*").alias("occurrences"), F.sum("first").alias("texts")
+    )
+    return counted.join(known.hint("merge"), "phrase", "left_semi")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from driftline.functions import text as tx
 from driftline.operators.revisions import assemble, known_ids, metadata_times, revision_id
 from driftline.operators.scale import BROADCAST_BYTES, fits_broadcast, skew_join
+from driftline.session import written
 
 # Fixed value: the frequency of a word that has none.
 DEFAULT_FREQUENCY = 0.00001
@@ -286,3 +287,29 @@ def lexicon_score(
         )
         .withColumn("score", F.try_divide("total_weight", "words"))
     )
+
+
+def log_odds_weights(
+    words: DataFrame, side: str = "is_first", word: str = "word", strength: float = 1000.0
+) -> DataFrame:
+    """How much more one side uses each word: log-odds with a Dirichlet prior.
+
+    ``words`` has a row for each occurrence and a boolean ``side``. Every word begins
+    with ``strength`` pseudo-counts in all, dealt out by how often both sides use it,
+    so that rare words don't get extreme odds. ``word, first, second, log_odds, z``;
+    ``z`` is the difference of the log-odds over its standard deviation.
+    """
+    counts = words.where(F.col(side).isNotNull() & F.col(word).isNotNull()).groupBy(
+        F.col(word).alias("word")
+    ).agg(F.count_if(F.col(side)).alias("first"), F.count_if(~F.col(side)).alias("second"))
+    counts = written(counts)
+    total = counts.agg(F.sum("first").alias("a"), F.sum("second").alias("b"))
+    a, b = total.select("a").scalar(), total.select("b").scalar()
+    prior = F.lit(float(strength)) * (F.col("first") + F.col("second")) / (a + b)
+    odds = lambda mine, all_: F.log(
+        (mine + prior) / (all_ + F.lit(float(strength)) - mine - prior)
+    )
+    deviation = F.sqrt(1 / (F.col("first") + prior) + 1 / (F.col("second") + prior))
+    return counts.withColumn("log_odds", odds(F.col("first"), a) - odds(F.col("second"), b)).withColumn(
+        "z", F.col("log_odds") / deviation
+    )

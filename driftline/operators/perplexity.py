@@ -167,3 +167,87 @@ def perplexity(
             "perplexity",
         )
     )
+
+
+def kneser_ney(model: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Interpolated Kneser-Ney from bigram counts: bigrams, contexts, continuations.
+
+    Seen bigrams lose a discount D = n1 / (n1 + 2 n2), with n1 and n2 the numbers of
+    bigrams seen once and twice; what they lose goes to the words by how many words
+    they follow (not by how often they occur), and a part of that, discounted in the
+    same way, to all words alike and one unknown word. All three are written:
+
+    - ``previous, word, share``: the discounted count over that of the context,
+    - ``previous, rest``: what the words after a context have lost in all,
+    - ``word, continued``: the probability of a word after an unknown context; the
+      row without a word is that of a word that was never seen.
+    """
+    model = written(model)
+    ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    kinds = model.agg(
+        F.count("*").alias("kinds"),
+        F.coalesce(F.try_divide(ones.cast("double"), ones + 2 * twos), F.lit(0.5)).alias("d"),
+    )
+    kinds = written(kinds)
+    d, every = kinds.select("d").scalar(), kinds.select("kinds").scalar()
+    contexts = written(
+        model.groupBy("previous").agg(F.sum("n").alias("total"), F.count("*").alias("after"))
+    )
+    bigrams = written(
+        model.join(contexts, "previous").select(
+            "previous", "word", ((F.col("n") - d) / F.col("total")).alias("share")
+        )
+    )
+    rest = written(contexts.select("previous", (d * F.col("after") / F.col("total")).alias("rest")))
+    # The vocabulary: words that follow one, and words that only begin a text.
+    both = F.array(
+        F.struct(F.col("word"), F.lit(1).cast("long").alias("c")),
+        F.struct(F.col("previous").alias("word"), F.lit(0).cast("long").alias("c")),
+    )
+    words = written(model.select(F.inline(both)).groupBy("word").agg(F.sum("c").alias("before")))
+    sizes = words.agg(
+        F.count("*").alias("vocabulary"), F.count_if(F.col("before") > 0).alias("followers")
+    )
+    spare = d * sizes.select("followers").scalar() / every / (sizes.select("vocabulary").scalar() + 1)
+    known = words.select(
+        "word", (F.greatest(F.col("before") - d, F.lit(0.0)) / every + spare).alias("continued")
+    )
+    unknown = kinds.where("kinds > 0").select(
+        F.lit(None).cast("string").alias("word"), spare.alias("continued")
+    )
+    return bigrams, rest, written(known.unionByName(unknown))
+
+
+def kneser_ney_losses(
+    sequences: DataFrame,
+    fitted: tuple[DataFrame, DataFrame, DataFrame],
+    key: str,
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``key, scored, loss``: negative log-likelihood of each sequence's tokens after
+    the first. Equal bigrams of a sequence are merged before they meet the model."""
+    bigrams, rest, continued = fitted
+    grouped = written(
+        _bigrams(sequences, key).groupBy(key, "previous", "word").agg(F.count("*").alias("c"))
+    )
+    wanted = grouped.select("previous", "word").distinct()
+    if fits_broadcast(wanted, max_bytes):
+        bigrams = bigrams.join(F.broadcast(wanted), ["previous", "word"], "left_semi")
+    scored = lookup_join(
+        grouped, bigrams, ["previous", "word"], "left", spread_by=[key], max_bytes=max_bytes
+    )
+    scored = lookup_join(
+        scored, rest, ["previous"], "left", spread_by=[key, "word"], max_bytes=max_bytes,
+        count_from=grouped,
+    )
+    scored = lookup_join(
+        scored, continued.where("word IS NOT NULL"), ["word"], "left",
+        spread_by=[key, "previous"], max_bytes=max_bytes, count_from=grouped,
+    )
+    never = continued.where("word IS NULL").select("continued").scalar()
+    chance = F.coalesce("share", F.lit(0.0)) + F.coalesce("rest", F.lit(1.0)) * F.coalesce(
+        F.col("continued"), never
+    )
+    return scored.groupBy(key).agg(
+        F.sum("c").alias("scored"), F.sum(F.col("c") * -F.log(chance)).alias("loss")
+    )

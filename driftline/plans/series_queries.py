@@ -617,6 +617,38 @@ def ngram_model(spark, sf_dir):
     return _model(spark, sf_dir)
 
 
+@query(
+    "kneser_ney_perplexity",
+    f"""WITH {TURNS}, {MODEL},
+k AS (SELECT count(*) AS kinds,
+             count(*) FILTER (WHERE n = 1)::DOUBLE
+               / (count(*) FILTER (WHERE n = 1) + 2 * count(*) FILTER (WHERE n = 2)) AS d
+      FROM model),
+ctx AS (SELECT previous, sum(n) AS total, count(*) AS after FROM model GROUP BY previous),
+voc AS (SELECT word, sum(c) AS before FROM
+          (SELECT word, 1 AS c FROM model UNION ALL SELECT previous, 0 FROM model) GROUP BY word),
+spare AS (SELECT d * (SELECT count(*) FROM voc WHERE before > 0) / kinds
+                 / ((SELECT count(*) FROM voc) + 1) AS spare FROM k),
+pos AS (SELECT doc, w[p] AS previous, w[p + 1] AS word
+        FROM (SELECT doc, w, unnest(generate_series(1, len(w) - 1)) AS p FROM turns)),
+l AS (
+  SELECT doc, -ln(coalesce((n - d) / total, 0) + coalesce(d * after / total, 1) *
+           (coalesce(greatest(before - d, 0) / kinds, 0) + spare)) AS l
+  FROM pos CROSS JOIN k CROSS JOIN spare
+  LEFT JOIN model m ON m.previous = pos.previous AND m.word = pos.word
+  LEFT JOIN ctx c ON c.previous = pos.previous
+  LEFT JOIN voc v ON v.word = pos.word)
+SELECT doc, count(*) AS scored, round(exp(sum(l) / count(*)), 4) AS perplexity
+FROM l GROUP BY doc""",
+)
+def kneser_ney_perplexity(spark, sf_dir):
+    fitted = perplexity.kneser_ney(_model(spark, sf_dir))
+    losses = perplexity.kneser_ney_losses(ad.turn_tokens(spark, sf_dir), fitted, "doc")
+    return losses.select(
+        "doc", "scored", F.round(F.exp(F.col("loss") / F.col("scored")), 4).alias("perplexity")
+    )
+
+
 def _perplexity(spark, sf_dir, max_length, stride, weighted=False):
     # The fitted model is read several times, so it is written once.
     model = written(_model(spark, sf_dir))

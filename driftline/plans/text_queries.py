@@ -459,3 +459,92 @@ SELECT phrase, count(*) AS texts FROM p GROUP BY phrase HAVING count(*) >= 3""",
 )
 def phrase_overlap(spark, sf_dir):
     return activity.phrase_overlap(ad.documents(spark, sf_dir), words=5, at_least=3)
+
+
+@query(
+    "repeated_passages",
+    f"""WITH d AS (SELECT doc_id, {UNICODE_WORDS} AS w FROM documents),
+g AS (SELECT doc_id, i - 1 AS pos, array_to_string(w[i : i + 4], ' ') AS phrase
+      FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d)),
+often AS (SELECT phrase FROM g GROUP BY phrase HAVING count(DISTINCT doc_id) >= 3),
+kept AS (SELECT doc_id, pos, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run
+         FROM g WHERE phrase IN (SELECT phrase FROM often)),
+runs AS (SELECT doc_id, min(pos) AS start, count(*) + 4 AS words FROM kept GROUP BY doc_id, run)
+SELECT r.doc_id, r.start AS "begin", r.words,
+       array_to_string(list_slice(w, r.start + 1, r.start + r.words), ' ') AS passage
+FROM runs r JOIN d ON d.doc_id = r.doc_id""",
+)
+def repeated_passages(spark, sf_dir):
+    return activity.repeated_passages(ad.documents(spark, sf_dir), "doc_id", words=5, at_least=3)
+
+
+@query(
+    "phrase_frequency",
+    f"""WITH b AS (SELECT {UNICODE_WORDS} AS w FROM benchmark),
+p AS (SELECT DISTINCT array_to_string(w[i : i + n - 1], ' ') AS phrase
+      FROM (SELECT w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+            FROM (SELECT w, unnest([1, 2, 3]) AS n FROM b))),
+{LINES},
+l AS (SELECT row_number() OVER () AS line, CAST(date_trunc('month', date) AS DATE) AS month,
+             {UNICODE_WORDS} AS w FROM lines),
+g AS (SELECT line, month, array_to_string(w[i : i + n - 1], ' ') AS phrase
+      FROM (SELECT line, month, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+            FROM (SELECT line, month, w, unnest([1, 2, 3]) AS n FROM l)))
+SELECT month, phrase, count(*) AS occurrences, count(DISTINCT line) AS texts
+FROM g WHERE phrase IN (SELECT phrase FROM p) GROUP BY month, phrase""",
+)
+def phrase_frequency(spark, sf_dir):
+    """All sequences of one to three words of the benchmark texts as keywords."""
+    told = ad.table(spark, sf_dir, "benchmark").select(tx.unicode_words(F.col("text")).alias("w"))
+    every = F.concat(*[tx.word_sequences(F.col("w"), n) for n in (1, 2, 3)])
+    phrases = told.where(F.size("w") > 0).select(F.explode(every).alias("phrase"))
+    return activity.phrase_frequency(ad.content(spark, sf_dir), phrases)
+
+
+ODDS = f"""c AS (
+  SELECT word, count(*) FILTER (WHERE role = 'assistant') AS first,
+         count(*) FILTER (WHERE role <> 'assistant') AS second
+  FROM (SELECT role, unnest({UNICODE_WORDS}) AS word FROM conversations WHERE role IS NOT NULL)
+  GROUP BY word),
+t AS (SELECT sum(first) AS a, sum(second) AS b FROM c),
+p AS (SELECT *, 1000.0::DOUBLE * (first + second) / (a + b) AS prior FROM c, t),
+odds AS (
+  SELECT word, first, second,
+         ln((first + prior) / (a + 1000.0 - first - prior))
+           - ln((second + prior) / (b + 1000.0 - second - prior)) AS log_odds,
+         sqrt(1 / (first + prior) + 1 / (second + prior)) AS deviation FROM p)"""
+
+
+def _odds(spark, sf_dir):
+    turns = ad.table(spark, sf_dir, "conversations").select(
+        (F.col("role") == "assistant").alias("is_first"),
+        F.explode(tx.unicode_words(F.col("text"))).alias("word"),
+    )
+    return lexicon.log_odds_weights(turns)
+
+
+@query(
+    "log_odds_weights",
+    f"""WITH {ODDS} SELECT word, first, second, round(log_odds, 6) AS log_odds,
+       round(log_odds / deviation, 6) AS z FROM odds""",
+)
+def log_odds_weights(spark, sf_dir):
+    return _odds(spark, sf_dir).withColumns(
+        {c: F.round(c, 6) for c in ("log_odds", "z")}
+    )
+
+
+@query(
+    "log_odds_scores",
+    f"""WITH {ODDS},
+d AS (SELECT doc_id, unnest({UNICODE_WORDS}) AS word FROM documents),
+s AS (SELECT doc_id, sum(CASE WHEN word <> '' THEN coalesce(log_odds / deviation, 0) END) AS z,
+             count(*) AS words FROM d LEFT JOIN odds USING (word) GROUP BY doc_id)
+SELECT o.doc_id AS to_id, coalesce(words, 0) AS words, round(z / words, 6) AS score
+FROM documents o LEFT JOIN s USING (doc_id)""",
+)
+def log_odds_scores(spark, sf_dir):
+    """Texts scored by the z-scores of their words, fitted on the two roles."""
+    weights = _odds(spark, sf_dir).select("word", F.col("z").alias("weight"))
+    scored = lexicon.lexicon_score(ad.content(spark, sf_dir), weights)
+    return scored.select(F.col("id").alias("to_id"), "words", F.round("score", 6).alias("score"))

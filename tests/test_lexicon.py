@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter
@@ -201,3 +202,21 @@ def test_assemble_in_chunks(spark, monkeypatch):
     for chunked in (None, True, False):
         got = {r["id"]: r["full_text"] for r in revisions.assemble(df, ["id"], chunked).collect()}
         assert got == {1: whole, 2: ""}
+
+
+def test_log_odds_weights(spark):
+    """Equal use gives 0, one-sided frequent words the largest z, rare ones less."""
+    rows = [(True, "yes")] * 50 + [(False, "no")] * 50 + [(True, "rare"), (None, "yes"), (True, None)]
+    rows += [(True, "same")] * 30 + [(False, "same")] * 30
+    df = spark.createDataFrame(rows, "is_first boolean, word string")
+    got = {r["word"]: r for r in lexicon.log_odds_weights(df, strength=10.0).collect()}
+    a, b = 81, 80
+    for word, first, second in (("yes", 50, 0), ("no", 0, 50), ("rare", 1, 0), ("same", 30, 30)):
+        prior = 10.0 * (first + second) / (a + b)
+        odds = lambda mine, total, prior=prior: math.log((mine + prior) / (total + 10.0 - mine - prior))
+        delta = odds(first, a) - odds(second, b)
+        z = delta / math.sqrt(1 / (first + prior) + 1 / (second + prior))
+        assert (got[word]["first"], got[word]["second"]) == (first, second)
+        assert abs(got[word]["log_odds"] - delta) < 1e-12 and abs(got[word]["z"] - z) < 1e-12
+    assert got["yes"]["z"] > got["rare"]["z"] > 0 > got["no"]["z"]
+    assert lexicon.log_odds_weights(df.limit(0)).count() == 0
