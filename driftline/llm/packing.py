@@ -41,21 +41,52 @@ CAPACITY = 2048
 END_ID = 0
 
 
-# The parts of a tokenizer file by which a chunk of printable ASCII
-# is lower-cased and split before the model sees it, and that split for ASCII.
+# The parts of a tokenizer file by which a chunk of printable ASCII and
+# Latin-1 letters is lower-cased and split before the model sees it, and that split.
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-ASCII_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
+SIMPLE = rb"(?:(?!<\|)[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
+SIMPLE_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+"
+
+
+def byte_symbols() -> dict[int, int]:
+    """The character by which a byte-level tokenizer writes each byte: itself if it
+    is printable, else the next free one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = (b for b in range(256) if b not in shown)
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+class Recent(dict):
+    """``make(key)`` of keys met lately, two generations of about ``entries`` each.
+    Keys above ``longest`` are made anew each time."""
+
+    def __init__(self, make, entries: int, longest: int):
+        super().__init__()
+        self.make, self.entries, self.longest = make, entries, longest
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            self[key] = value
+        return value
+
+    def age(self) -> None:
+        if len(self) > self.entries:
+            self.old = dict(self)
+            self.clear()
 
 
 class ChunkEncoder:
     """Token ids of whole texts, through a bounded memory of chunks.
 
     The tokenizer drops white space, so a text's ids are those of the chunks
-    between ASCII white space, one after another. A chunk's ids are kept until
-    ``entries`` newer chunks have been met since it was last used. Chunks of
-    printable ASCII go to the tokenizer's model directly, where its file says that
-    they are only lower-cased and split.
+    between ASCII white space, one after another. Chunks of printable ASCII and
+    Latin-1 letters go to the tokenizer's model directly, word by word, where its
+    file says that they are only lower-cased and split.
     """
 
     LONGEST = 200  # longer chunks are not remembered
@@ -64,9 +95,9 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.entries = entries
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young = Recent(self._chunk, entries, self.LONGEST)
+        self.model = self.tokenizer.model.tokenize
+        self.symbols = byte_symbols()
         parts = json.loads(self.tokenizer.to_str())
         normalizers = (parts["normalizer"] or {}).get("normalizers", [])
         splits = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
@@ -78,37 +109,28 @@ class ChunkEncoder:
             and not splits[1]["use_regex"]
             and all(t["content"].startswith("<|") for t in parts["added_tokens"])
         )
-        self.is_simple = re.compile(rb"(?:(?!<\|)[!-~])+").fullmatch
-        self.split = re.compile(ASCII_SPLIT).findall
-
-    def _learn(self, chunks: set[bytes]) -> list[bytes]:
-        young, old = self.young, self.old
-        known = chunks & old.keys()
-        young.update((c, old[c]) for c in known)
-        fresh, odd = chunks - known, []
-        model = self.tokenizer.model.tokenize
-        for chunk in fresh:
-            if self.simple and self.is_simple(chunk):
-                words = self.split(chunk.decode().lower())
-                ids = [token.id for word in words for token in model(word)]
-                young[chunk] = pack_ids(ids)
-            else:
-                odd.append(chunk)
-        texts = [c.decode("utf-8", "replace") for c in odd]
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        young.update((c, pack_ids(got.ids)) for c, got in zip(odd, coded))
-        return [c for c in fresh if len(c) > self.LONGEST]
+        self.is_simple = re.compile(SIMPLE).fullmatch
+        self.split = re.compile(SIMPLE_SPLIT).findall
+
+    @property
+    def old(self) -> dict[bytes, bytes]:
+        return self.young.old
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        if self.simple and self.is_simple(chunk):
+            lower = chunk.decode().lower()
+            words = self.split(lower)
+            if not lower.isascii():
+                words = [w.encode().decode("latin-1").translate(self.symbols) for w in words]
+            return pack_ids([token.id for word in words for token in self.model(word)])
+        text = chunk.decode("utf-8", "replace")
+        return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.split() for t in texts]
-        long = self._learn(set().union(*split) - self.young.keys())
         found = self.young.__getitem__
-        ids = [b"".join(map(found, chunks)) for chunks in split]
-        for chunk in long:
-            del self.young[chunk]
-        if len(self.young) > self.entries:
-            self.old, self.young = self.young, {}
+        ids = [b"".join(map(found, text.split())) for text in texts]
+        self.young.age()
         return ids
 
 
@@ -223,6 +245,17 @@ def pack_counts(counts: dict[int, int], capacity: int) -> tuple[list[Placement],
     return packer.plan, packer.sequences
 
 
+def numbered_by_size(sizes: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """The number of each piece among those of its size; ``met`` counts those before
+    and is moved on."""
+    order = np.argsort(sizes, kind="stable")
+    ranked = sizes[order]
+    places = np.empty(len(sizes), np.int64)
+    places[order] = np.arange(len(sizes)) - np.searchsorted(ranked, ranked) + met[ranked]
+    met += np.bincount(sizes, minlength=len(met))
+    return places
+
+
 def tokenised_pieces(
     docs: DataFrame,
     path: str,
@@ -244,26 +277,36 @@ def tokenised_pieces(
     def cut(batches):
         coder = worker_memory(("chunks", path), lambda: ChunkEncoder(path))
         part = TaskContext.get().partitionId()
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "place"]
+        names += ["ids"] * with_ids
         met = np.zeros(capacity + 1, np.int64)
         for batch in small_batches(batches):
             every = [t or b"" for t in batch.column("body").to_pylist()]
             for a, b in in_batches(every, 2_000_000):
-                rows, at = [], []
-                for number, ids in enumerate(coder.encode(every[a:b]), a):
-                    ids += end
-                    for piece, low in enumerate(range(0, len(ids), 4 * capacity)):
-                        span = ids[low : low + 4 * capacity]
-                        size = len(span) // 4
-                        row = (piece, low // 4, size, zlib.crc32(span), part, int(met[size]))
-                        rows.append((*row, span) if with_ids else row)
-                        at.append(number)
-                        met[size] += 1
-                columns = [batch.column("doc_id").take(pa.array(at))]
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-                kinds += [pa.binary()] * with_ids
-                columns += [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "place"]
-                names += ["ids"] * with_ids
+                coded = coder.encode(every[a:b])
+                ids = memoryview(end.join([*coded, b""]))
+                sizes = np.fromiter(map(len, coded), np.int64, b - a) // 4 + 1
+                pieces = -(-sizes // capacity)
+                row = np.repeat(np.arange(b - a), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(sizes[row] - start, capacity)
+                # Pieces fill the ids without gaps, so they end where the next begins.
+                ends = np.cumsum(length) * 4
+                crcs = [zlib.crc32(ids[i:j]) for i, j in zip(ends - 4 * length, ends)]
+                columns = [
+                    batch.column("doc_id").take(pa.array(row + a)),
+                    pa.array(piece, pa.int32()),
+                    pa.array(start),
+                    pa.array(length),
+                    pa.array(crcs, pa.int64()),
+                    pa.array(np.full(len(row), part, np.int32)),
+                    pa.array(numbered_by_size(length, met)),
+                ]
+                if with_ids:
+                    offsets = np.concatenate([[0], ends]).astype(np.int32)
+                    parts = [None, pa.py_buffer(offsets), pa.py_buffer(ids)]
+                    columns.append(pa.Array.from_buffers(pa.binary(), len(row), parts))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(
