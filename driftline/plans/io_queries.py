@@ -177,6 +177,22 @@ def title_list_roundtrip(spark, sf_dir):
     return spark.read.text(path).select(F.col("value").alias("title")).distinct()
 
 
+@query("title_json_roundtrip", "SELECT c_name AS title FROM customer")
+def title_json_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "title-list")
+    sinks.write_json_list(ad.table(spark, sf_dir, "customer"), "c_name", path)
+    return landed.read_json_list(spark, path)
+
+
+@query("revision_ids", "SELECT DISTINCT o_orderkey AS id FROM orders")
+def revision_ids(spark, sf_dir):
+    """Ids of metadata that was landed twice."""
+    path = scratch_path(spark, "ids")
+    for _ in range(2):
+        sinks.append_json(_meta_records(spark, sf_dir), path)
+    return landed.revision_ids(landed.read_metadata(spark, path))
+
+
 # Payloads -------------------------------------------------------------------
 
 
@@ -268,6 +284,125 @@ def _page_payloads(spark, sf_dir):
     return pages.select(F.to_json(body).alias("payload"))
 
 
+# Payloads of several elements, one for each word of a turn.
+TURN_WORDS = r"""w AS (SELECT conv_id, turn, u.word, u.i FROM conversations,
+  LATERAL (SELECT unnest(ws) AS word, unnest(range(len(ws))) AS i
+           FROM (SELECT string_split_regex(text, '[\s\x0b]+') AS ws)) u WHERE text IS NOT NULL)"""
+
+
+def _turn_payloads(spark, sf_dir, element, around, *keep):
+    """A payload for each turn: ``around`` the array of ``element(word, number)``."""
+    elements = F.transform(F.split("text", r"\s+"), element)
+    turns = ad.table(spark, sf_dir, "conversations").where("text IS NOT NULL")
+    return turns.select(*keep, F.to_json(around(elements)).alias("payload"))
+
+
+@query(
+    "flatten_page_views_many",
+    f"""WITH {TURN_WORDS}
+SELECT conv_id, turn, word AS article, CAST(2024010100 + i AS VARCHAR) AS timestamp,
+       length(word) AS views FROM w""",
+)
+def flatten_page_views_many(spark, sf_dir):
+    def item(word, i):
+        stamp = (F.lit(2024010100) + i).cast("string")
+        return F.struct(
+            word.alias("article"), stamp.alias("timestamp"), F.length(word).alias("views")
+        )
+
+    payloads = _turn_payloads(
+        spark, sf_dir, item, lambda items: F.struct(items.alias("items")), "conv_id", "turn"
+    )
+    return landed.page_views(payloads)
+
+
+@query(
+    "flatten_registrations_many",
+    f"""WITH {TURN_WORDS}
+SELECT conv_id, turn, TIMESTAMP '2024-01-01' + to_days(CAST(i AS INTEGER)) AS timestamp,
+       length(word) AS new_users FROM w""",
+)
+def flatten_registrations_many(spark, sf_dir):
+    def result(word, i):
+        day = F.date_add(F.lit("2024-01-01").cast("date"), i)
+        return F.struct(
+            _iso(day).alias("timestamp"), F.length(word).alias("new_registered_users")
+        )
+
+    def around(results):
+        return F.struct(F.array(F.struct(results.alias("results"))).alias("items"))
+
+    payloads = _turn_payloads(spark, sf_dir, result, around, "conv_id", "turn")
+    return landed.registrations(payloads)
+
+
+@query(
+    "flatten_category_members_many",
+    f"""WITH {TURN_WORDS}
+SELECT conv_id || '/' || turn AS category, word AS member, FALSE AS is_subcat FROM w
+UNION ALL SELECT conv_id || '/' || turn, 'Category:' || word, TRUE FROM w""",
+)
+def flatten_category_members_many(spark, sf_dir):
+    def around(titles):
+        sub = F.transform(titles, lambda t: F.struct(F.concat(F.lit("Category:"), t["title"]).alias("title")))
+        both = F.concat(titles, sub).alias("categorymembers")
+        return F.struct(F.struct(both).alias("query"))
+
+    name = F.concat_ws("/", "conv_id", "turn").alias("category")
+    payloads = _turn_payloads(
+        spark, sf_dir, lambda word: F.struct(word.alias("title")), around, name
+    )
+    return landed.category_members(payloads)
+
+
+@query(
+    "flatten_pages_many",
+    f"""WITH {TURN_WORDS}
+SELECT conv_id || '/' || turn || '/' || i AS page_id, word AS title,
+       CASE WHEN i % 3 = 2 THEN 'No content available' ELSE word END AS text FROM w""",
+)
+def flatten_pages_many(spark, sf_dir):
+    def entry(word, i):
+        main = F.struct(word.alias("content")).alias("main")
+        revision = F.struct(F.struct(main).alias("slots"))
+        page = F.struct(
+            word.alias("title"), F.when(i % 3 != 2, F.array(revision)).alias("revisions")
+        )
+        return F.struct(F.concat_ws("/", "conv_id", "turn", i).alias("key"), page.alias("value"))
+
+    def around(entries):
+        pages = F.map_from_entries(entries).alias("pages")
+        return F.struct(F.struct(pages).alias("query"))
+
+    return landed.page_texts(_turn_payloads(spark, sf_dir, entry, around))
+
+
+@query(
+    "flatten_revisions_many",
+    f"""WITH {TURN_WORDS}
+SELECT conv_id || '/' || turn AS title, i AS id, word AS user,
+       CASE WHEN i % 2 = 0 THEN word ELSE '' END AS comment, '' AS content,
+       TIMESTAMP '2024-01-01' + to_days(CAST(i AS INTEGER)) AS timestamp FROM w""",
+)
+def flatten_revisions_many(spark, sf_dir):
+    path = scratch_path(spark, "listing-many")
+
+    def entry(word, i):
+        day = F.date_add(F.lit("2024-01-01").cast("date"), i)
+        return F.struct(
+            i.alias("id"), _iso(day).alias("timestamp"), word.alias("user"),
+            F.when(i % 2 == 0, word).alias("comment"),
+        )
+
+    turns = ad.table(spark, sf_dir, "conversations").where("text IS NOT NULL")
+    records = turns.select(
+        F.concat_ws("/", "conv_id", "turn").alias("title"),
+        F.transform(F.split("text", r"\s+"), entry).alias("revisions"),
+    )
+    sinks.write_json(records, path)
+    return landed.revision_listing(landed.read_json(spark, path, schemas.REVISION_LISTING))
+
+
 @query(
     "page_summaries",
     """SELECT url AS title, substring(CASE WHEN contains(url, '?') THEN 'No content available'

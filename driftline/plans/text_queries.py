@@ -548,3 +548,20 @@ def log_odds_scores(spark, sf_dir):
     weights = _odds(spark, sf_dir).select("word", F.col("z").alias("weight"))
     scored = lexicon.lexicon_score(ad.content(spark, sf_dir), weights)
     return scored.select(F.col("id").alias("to_id"), "words", F.round("score", 6).alias("score"))
+
+
+@query(
+    "uncommon_words_by_sql",
+    r"""WITH l AS (SELECT DISTINCT unnest(string_split_regex(text, '[\s\x0b]+')) AS word FROM benchmark),
+t AS (SELECT conv_id, turn, text, row_number() OVER () AS row FROM conversations),
+w AS (SELECT row, unnest(string_split_regex(text, '[\s\x0b]+')) AS word FROM t)
+SELECT conv_id, turn, CAST(coalesce(n, 0) AS INTEGER) AS uncommon_words FROM t LEFT JOIN (
+  SELECT row, count(*) AS n FROM w
+  WHERE word <> '' AND word NOT IN (SELECT word FROM l WHERE word IS NOT NULL) GROUP BY row) USING (row)""",
+)
+def uncommon_words_by_sql(spark, sf_dir):
+    """Words of a turn that no benchmark text holds, by the SQL name."""
+    told = ad.table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", r"\s+")).alias("word"))
+    lexicon.register_sql(spark, told.distinct())
+    turns = ad.table(spark, sf_dir, "conversations")
+    return turns.selectExpr("conv_id", "turn", "count_uncommon_words(text) AS uncommon_words")

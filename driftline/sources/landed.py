@@ -85,6 +85,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_FORM).csv(path, header=True)
 
 
+def read_json_list(spark: SparkSession, path: str, column: str = "title") -> DataFrame:
+    """The strings of JSON arrays, one array a file; a file has to fit a row."""
+    files = spark.read.text(path, wholetext=True)
+    return files.select(F.explode(F.from_json("value", "array<string>")).alias(column))
+
+
 def listed_titles(spark: SparkSession, path: str) -> DataFrame:
     """``title, has_meta, has_content`` from file names alone; no file is opened."""
     # The name a record file has, also where its folder carries the title.

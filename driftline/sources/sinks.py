@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -50,6 +51,26 @@ def write_lines(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_json_list(df: DataFrame, column: str, path: str) -> None:
+    """The values of ``column`` as a JSON array of strings, one array for each task.
+
+    A task writes its values one after another, one to a line. Nulls are left out.
+    """
+
+    def framed(batches):
+        begun = False
+        for batch in batches:
+            values = batch.column(0).to_pylist()
+            marked = [("," if begun or i else "[") + v for i, v in enumerate(values)]
+            begun = begun or bool(values)
+            yield pa.RecordBatch.from_arrays([pa.array(marked, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if begun else "[]"])], names=["value"])
+
+    listed = df.where(F.col(column).isNotNull()).select(F.to_json(F.array(column)).alias("value"))
+    bare = listed.select(F.expr("substring(value, 2, length(value) - 2)").alias("value"))
+    bare.mapInArrow(framed, "value string").write.mode("overwrite").text(path)
+
+
 def append_counted(df: DataFrame, path: str) -> int:
     """Append and return how many records were saved, counted while writing."""
     seen = Observation("saved")

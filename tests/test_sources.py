@@ -260,3 +260,20 @@ def test_closed_windows_once_and_late_rows_counted(spark, tmp_path):
     assert run(9) == 0
     assert closed() == {(1, 2), (2, 1), (4, 1), (5, 1), (6, 1)}
     assert spark.read.parquet(out).count() == 5
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_title_list_as_json(spark, tmp_path, parts):
+    titles = ['a "b"', "c,d", "e\nf", "", "[g]", "a \"b\"", None]
+    df = spark.createDataFrame([(t, 1) for t in titles], "title string, value int")
+    path = str(tmp_path / "titles")
+    sinks.write_json_list(df.repartition(parts), "title", path)
+    told = []
+    for name in os.listdir(path):
+        if name.startswith("part-"):
+            with open(os.path.join(path, name), encoding="utf8") as file:
+                told += json.load(file)
+    assert Counter(told) == Counter(titles[:-1])
+    assert Counter(r.title for r in landed.read_json_list(spark, path).collect()) == Counter(told)
+    sinks.write_json_list(df.limit(0), "title", path)
+    assert landed.read_json_list(spark, path).count() == 0
