@@ -15,12 +15,16 @@ Defined cases: a null payload is empty. Rows with a null id are written, with
 the id ``null``; they are revisits of any equal payload that has an id. Of
 repeated rows with the same id and payload one is a response and the others
 revisit it. Line ends in a URL are percent-encoded. A payload whose segments are
-missing, differ in length from the stated total, or whose framing is broken is
-returned with a null payload and the reason in ``problem``.
+missing, contradict each other or differ in length from the stated total, whose
+block is cut short, or whose framing is broken is returned with a null payload and
+the reason in ``problem``. Archives may be gzipped, by record or whole, or plain.
+Where a file can't be read on (corrupt or cut data, a record without a valid length)
+what came before is returned, and a row without a type names the file and the reason.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -234,7 +238,10 @@ def write_archives(
 
 
 class _Source:
-    """Reads lines and spans from a gzipped file held as bytes, piece by piece."""
+    """Reads lines and spans from an archive held as bytes, piece by piece.
+
+    ``broken`` says why nothing more can be had before the data's proper end.
+    """
 
     STEP = 1 << 16
 
@@ -242,31 +249,45 @@ class _Source:
         self.data, self.at = memoryview(data), 0
         self.ready, self.used = b"", 0
         self.inflate = zlib.decompressobj(31)
+        self.plain = bytes(self.data[:5]) == b"WARC/"
+        self.broken: str | None = None
 
     def _more(self) -> bool:
+        try:
+            got = self._raw() if self.plain else self._inflated()
+        except zlib.error:
+            got, self.broken = b"", "the compressed data is corrupt"
+            self.at, self.plain = len(self.data), True
+        if got:
+            self.ready, self.used = self.ready[self.used :] + got, 0
+        return bool(got)
+
+    def _inflated(self) -> bytes:
         while (
             self.at < len(self.data)
             or self.inflate.unconsumed_tail
             or (self.inflate.eof and self.inflate.unused_data.strip(b"\0"))
         ):
             if self.inflate.eof:  # the next member of the file
-                rest = self.inflate.unused_data.lstrip(b"\0")
+                raw = self.inflate.unused_data.lstrip(b"\0") or self._raw().lstrip(b"\0")
+                if not raw:
+                    continue
                 self.inflate = zlib.decompressobj(31)
-                raw = rest or self._raw()
             else:
                 raw = self.inflate.unconsumed_tail or self._raw()
-            got = self.inflate.decompress(raw, 1 << 20)
-            if got:
-                self.ready, self.used = self.ready[self.used :] + got, 0
-                return True
-        return False
-
-    def _raw(self):
-        piece = self.data[self.at : self.at + self.STEP]
+            if got := self.inflate.decompress(raw, 1 << 20):
+                return got
+        if len(self.data) and not self.inflate.eof:
+            self.broken = "the compressed data ends early"
+        return b""
+
+    def _raw(self) -> bytes:
+        piece = bytes(self.data[self.at : self.at + self.STEP])
         self.at += len(piece)
         return piece
 
     def until(self, mark: bytes) -> bytes | None:
+        """What comes before ``mark``; None, and nothing used, if it doesn't come."""
         while (end := self.ready.find(mark, self.used)) < 0:
             if not self._more():
                 return None
@@ -282,8 +303,18 @@ class _Source:
         return got
 
 
-def parse(data) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers, with lower-case names, and block of each record of a file."""
+def _number(text: str | None, below: int) -> int | None:
+    """A count as headers state it; None if it is none."""
+    if text is None or not re.fullmatch("[0-9]{1,19}", text):
+        return None
+    return int(text) if int(text) < below else None
+
+
+def read_file(data) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """Headers, with lower-case names, block and problem of each record of a file.
+
+    Where reading can't go on, the last item says why and has no headers.
+    """
     source = _Source(data)
     while (head := source.until(b"\r\n\r\n")) is not None:
         lines = head.decode("utf-8", "replace").split("\r\n")
@@ -291,60 +322,93 @@ def parse(data) -> Iterator[tuple[dict[str, str], bytes]]:
             lines.pop(0)
         if not lines:
             continue
+        if not lines[0].startswith("WARC/"):
+            yield {}, b"", "a record does not begin with its version"
+            return
         headers = {
             name.strip().lower(): value.strip()
             for name, _, value in (line.partition(":") for line in lines[1:])
         }
-        yield headers, source.take(int(headers.get("content-length", 0)))
+        size = _number(headers.get("content-length"), 1 << 63)
+        if size is None:
+            yield headers, b"", "the record states no length"
+            yield {}, b"", "after a record without a length nothing can be read"
+            return
+        block, problem = source.take(size), None
+        if len(block) < size:
+            problem = "the block is cut short"
+        for name, below in (("warc-segment-number", 1 << 31), ("warc-segment-total-length", 1 << 63)):
+            if name in headers and _number(headers[name], below) is None:
+                problem = problem or f"{name} is no number"
+        yield headers, block, problem
+    if source.broken:
+        yield {}, b"", source.broken
+    elif source.ready[source.used :].strip(b"\r\n\0"):
+        yield {}, b"", "a header is cut short"
+
+
+def parse(data) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers and block of each record that a file holds whole."""
+    return ((headers, block) for headers, block, problem in read_file(data) if problem is None)
 
 
 RECORD_SCHEMA = (
     "warc_type string, record_id string, origin_id string, segment int, total long,"
-    " refers_to string, digest string, uri string, block binary"
+    " refers_to string, digest string, uri string, block binary, problem string, archive string"
 )
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the archives below ``path``, one row each."""
+    """Every record of the archives below ``path``, one row each.
+
+    ``problem`` says what is wrong with a record, and in rows without a type why the
+    rest of the file ``archive`` could not be read.
+    """
     ship(spark)
 
     def rows_of(batches):
         schema = pa.schema(
             [("warc_type", pa.string()), ("record_id", pa.string()), ("origin_id", pa.string()),
              ("segment", pa.int32()), ("total", pa.int64()), ("refers_to", pa.string()),
-             ("digest", pa.string()), ("uri", pa.string()), ("block", pa.binary())]
+             ("digest", pa.string()), ("uri", pa.string()), ("block", pa.binary()),
+             ("problem", pa.string()), ("archive", pa.string())]
         )
+
+        def row(h, block, problem, name):
+            named = lambda key: h.get(key, "").strip("<>") or None
+            return (
+                h.get("warc-type"),
+                named("warc-record-id"),
+                named("warc-segment-origin-id"),
+                _number(h.get("warc-segment-number"), 1 << 31),
+                _number(h.get("warc-segment-total-length"), 1 << 63),
+                named("warc-refers-to"),
+                h.get("warc-payload-digest", "").removeprefix("sha1:") or None,
+                h.get("warc-target-uri"),
+                block,
+                problem,
+                name,
+            )
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema
+            )
+
         for batch in batches:
-            for data in batch.column(0):
+            for data, name in zip(batch.column(0), batch.column(1).to_pylist()):
                 rows, size = [], 0
-                for h, block in parse(data.as_buffer()):
-                    number, total = h.get("warc-segment-number"), h.get("warc-segment-total-length")
-                    rows.append(
-                        (
-                            h.get("warc-type"),
-                            h.get("warc-record-id", "").strip("<>"),
-                            h.get("warc-segment-origin-id", "").strip("<>") or None,
-                            number and int(number),
-                            total and int(total),
-                            h.get("warc-refers-to", "").strip("<>") or None,
-                            h.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-                            h.get("warc-target-uri"),
-                            block,
-                        )
-                    )
+                for h, block, problem in read_file(data.as_buffer()):
+                    rows.append(row(h, block, problem, name))
                     size += len(block)
                     if size > 4_000_000:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema
-                        )
+                        yield batch_of(rows)
                         rows, size = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema
-                    )
+                    yield batch_of(rows)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("content").mapInArrow(rows_of, RECORD_SCHEMA)
+    return files.select("content", "path").mapInArrow(rows_of, RECORD_SCHEMA)
 
 
 def decode_chunked(body: bytes) -> bytes:
@@ -354,7 +418,10 @@ def decode_chunked(body: bytes) -> bytes:
         end = body.find(b"\r\n", at)
         if end < 0:
             raise ValueError("a chunk size is missing")
-        size = int(bytes(body[at:end]).split(b";")[0], 16)
+        stated = bytes(body[at:end]).split(b";")[0].strip()
+        if not re.fullmatch(b"[0-9A-Fa-f]+", stated):
+            raise ValueError("a chunk size is no number")
+        size = int(stated, 16)
         at = end + 2
         if size == 0:
             return b"".join(out)
@@ -378,10 +445,15 @@ def http_payload(block: bytes) -> bytes:
 
 def assemble(segments) -> bytes:
     """The block whose segments are given as dicts of ``segment``, ``total``,
-    ``block``, in any order; the same segment may come twice."""
+    ``block``, in any order; the same segment may come twice. ValueError if they
+    make no whole block, or if one has a ``problem``."""
+    if problems := sorted({s["problem"] for s in segments if s.get("problem")}):
+        raise ValueError("; ".join(problems))
     if segments[0]["segment"] is None:
         return segments[0]["block"]
     by_number = {s["segment"]: s for s in segments}
+    if any(s["block"] != by_number[s["segment"]]["block"] for s in segments):
+        raise ValueError("two segments of one number differ")
     last = by_number[max(by_number)]
     if sorted(by_number) != list(range(1, len(by_number) + 1)) or last["total"] is None:
         raise ValueError("a segment is missing")
@@ -393,7 +465,8 @@ def assemble(segments) -> bytes:
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """One row per response or revisit: ``record_id``, ``warc_type``, ``uri``,
-    ``refers_to``, ``digest``, ``payload`` (null for revisits), ``problem``."""
+    ``refers_to``, ``digest``, ``payload`` (null for revisits), ``problem`` and
+    ``archive``; and one without a type for each file that could not be read on."""
 
     @F.pandas_udf("payload binary, problem string")
     def decoded(groups: pd.Series) -> pd.DataFrame:
@@ -406,9 +479,9 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
         return pd.DataFrame(rows, columns=["payload", "problem"])
 
     every = read_records(spark, path)
-    one = F.struct("segment", "total", "block")
+    one = F.struct("segment", "total", "block", "problem")
     whole = every.where("segment IS NULL AND warc_type = 'response'").select(
-        "record_id", "uri", "digest", F.array(one).alias("segments")
+        "record_id", "uri", "digest", "archive", F.array(one).alias("segments")
     )
     first = F.col("warc_type") == "response"
     parts = (
@@ -417,6 +490,7 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
         .agg(
             F.max(F.when(first, F.col("uri"))).alias("uri"),
             F.max(F.when(first, F.col("digest"))).alias("digest"),
+            F.max("archive").alias("archive"),
             F.collect_list(one).alias("segments"),
         )
     )
@@ -431,15 +505,19 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
             "digest",
             "got.payload",
             "got.problem",
+            "archive",
         )
     )
-    revisits = every.where("warc_type = 'revisit'").select(
+    revisits = every.where(
+        "segment IS NULL AND warc_type = 'revisit' OR warc_type IS NULL AND problem IS NOT NULL"
+    ).select(
         "record_id",
         "warc_type",
         "uri",
         "refers_to",
         "digest",
         F.lit(None).cast("binary").alias("payload"),
-        F.lit(None).cast("string").alias("problem"),
+        "problem",
+        "archive",
     )
     return responses.unionByName(revisits)

@@ -128,3 +128,65 @@ def test_a_member_for_each_record():
         for padding in (b"", bytes(512)):
             got = list(warc.parse(data + padding))
             assert [block for _, block in got] == [b"%05d" % i for i in range(count)]
+
+
+def written(i, block, extra="", length=None):
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <r{i}>\r\n{extra}"
+    stated = len(block) if length is None else length
+    return f"{head}Content-Length: {stated}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+PAGE = b"HTTP/1.1 200 OK\r\n\r\n" + b"page " * 100
+
+
+def test_broken_archives_are_named_and_end_no_job(spark, tmp_path):
+    good = gzip.compress(written(1, PAGE))
+    flipped = bytearray(gzip.compress(written(2, PAGE)))
+    flipped[len(flipped) // 2] ^= 255
+    files = {
+        "cut.gz": gzip.compress(written(1, PAGE)[:300]),
+        "length.gz": gzip.compress(written(1, PAGE) + written(2, PAGE, length="many") + written(3, PAGE)),
+        "none.gz": gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <r1>\r\n\r\n"),
+        "no-gzip.gz": b"<html>not an archive</html>\r\n\r\n",
+        "corrupt.gz": good + bytes(flipped),
+        "truncated.gz": good + gzip.compress(written(2, PAGE))[:-20],
+        "header.gz": gzip.compress(written(1, PAGE) + b"WARC/1.1\r\nWARC-Ty"),
+        "foreign.gz": gzip.compress(written(1, PAGE) + b"something else\r\n\r\n"),
+        "number.gz": gzip.compress(written(1, PAGE, "WARC-Segment-Number: first\r\n")),
+        "plain.warc": written(1, PAGE) + written(2, PAGE),
+        "empty.gz": b"",
+    }
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    got = {}
+    for r in warc.read_payloads(spark, str(tmp_path)).collect():
+        got.setdefault(r.archive.rsplit("/", 1)[1], []).append(r)
+        assert (r.payload is None) == (r.problem is not None)
+        assert r.payload is None or bytes(r.payload) == b"page " * 100
+    problems = lambda name: {r.record_id: r.problem for r in got[name] if r.problem}
+    whole = lambda name: sorted(r.record_id for r in got[name] if not r.problem)
+    assert problems("cut.gz") == {"r1": "the block is cut short"}
+    assert set(problems("length.gz")) == {"r2", None} and whole("length.gz") == ["r1"]
+    assert set(problems("none.gz").values()) >= {"the record states no length"}
+    assert problems("no-gzip.gz") == {None: "the compressed data is corrupt"}
+    assert whole("corrupt.gz") == ["r1"] and None in problems("corrupt.gz")
+    assert "r1" in whole("truncated.gz")
+    assert problems("truncated.gz")[None] == "the compressed data ends early"
+    assert whole("header.gz") == ["r1"] and problems("header.gz") == {None: "a header is cut short"}
+    assert whole("foreign.gz") == ["r1"] and "version" in problems("foreign.gz")[None]
+    assert "no number" in problems("number.gz")["r1"]
+    assert whole("plain.warc") == ["r1", "r2"] and not problems("plain.warc")
+    assert "empty.gz" not in got
+
+
+def test_segments_that_contradict_each_other():
+    part = lambda n, total, block, **more: {"segment": n, "total": total, "block": block, **more}
+    for broken in (
+        [part(1, None, b"ab"), part(1, None, b"xy"), part(2, 4, b"cd")],
+        [part(1, None, b"ab"), part(2, 4, b"cd", problem="the block is cut short")],
+    ):
+        with pytest.raises(ValueError):
+            warc.assemble(broken)
+    for size in (b"-2", b"+1", b"1_0", b""):
+        with pytest.raises(ValueError):
+            warc.decode_chunked(size + b"\r\nab\r\n0\r\n\r\n")
