@@ -5,14 +5,20 @@ raises the likelihood of the class bigrams most, round after round. A text's
 probability is the product of class transitions and word emissions,
 P(class | class before) * P(word | class), over its words and one end.
 
-Units are the ``head`` most frequent words, each on its own, and for all other
-words the group of those with the same hashed ending. Every word thus has a
-class, and every training token counts. The table of unit bigrams is bounded by
-the number of units, whatever the corpus holds, so the exchange itself runs on
-the driver; counting, vocabulary and scoring are distributed and grow with the
-data. Counts of frequent words are broadcast (``LOCAL`` words of at most
-``WORD_BYTES`` bytes each); all others are joined, once per document and word. No
-key of that join is hot, because hot words never enter it.
+Exchange has two steps. First the ``head`` most frequent words, each on its own, and
+for all other words the groups of those with the same hashed ending are exchanged one
+by one; their bigrams are a table bounded by the number of units, so this runs on the
+driver. Then each of the ``local`` most frequent words gets a class of its own: whole
+sweeps over the corpus count the classes before and after each word, tasks find the
+class that gains most for every word, and all move at once. A sweep is kept only if
+the likelihood of the whole corpus rises; ``sweeps`` bounds their number, and they end
+earlier where nothing moves. Words beyond these keep their ending's group, which moves
+like a word. Every word thus has a class, and every training token counts.
+
+Counting, vocabulary and scoring are distributed and grow with the data. Classes and
+counts of the ``local`` words are broadcast; all others are joined, once per document
+and word. No key of that join is hot, because hot words never enter it. Words longer
+than ``WORD_BYTES`` are named by their SHA-256, so they are as short as any.
 
 Defined cases: a null text counts as empty and has one token, its end. Words
 that were never seen are known by the class of their ending. Without training
@@ -23,6 +29,7 @@ looked at. Memory grows with the longest text.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from typing import NamedTuple
@@ -35,7 +42,7 @@ from pyspark.sql import functions as F
 
 from driftline.llm.common import in_batches, ship, stored
 
-HEAD, ENDINGS, CLASSES, ROUNDS = 1024, 256, 64, 6
+HEAD, ENDINGS, CLASSES, ROUNDS, SWEEPS = 1024, 256, 64, 6, 2
 LOCAL, WORD_BYTES = 50_000, 64
 #: Added to the counts of class transitions.
 MOVE_SMOOTHING = 0.5
@@ -44,8 +51,13 @@ HELD_WORDS = 400_000
 
 
 def words(text: bytes | None) -> list[bytes]:
-    """A-Z lower-cased, split at ASCII white space."""
-    return (text or b"").lower().split()
+    """A-Z lower-cased, split at ASCII white space; long words as their names."""
+    found = (text or b"").lower().split()
+    if found and max(map(len, found)) > WORD_BYTES:
+        # No UTF-8 text holds the byte FF, so a name is no word.
+        name = lambda w: b"\xff" + hashlib.sha256(w).digest()
+        found = [w if len(w) <= WORD_BYTES else name(w) for w in found]
+    return found
 
 
 class Units(dict):
@@ -103,14 +115,8 @@ def count_bigrams(docs: DataFrame, head: list[bytes], endings: int, text_col: st
     def counted(batches):
         units = Units(shared.value, endings)
         sums = np.zeros(side * side, np.int64)
-        for batch in batches:
-            bodies = batch.column("body").to_pylist()
-            for a, b in in_batches([body or b"" for body in bodies], 2_000_000):
-                parts = [np.array([units.edge], np.int32)]
-                for body in bodies[a:b]:
-                    parts += [units.of(words(body)), parts[0]]
-                line = np.concatenate(parts).astype(np.int64)
-                sums += np.bincount(line[:-1] * side + line[1:], minlength=side * side)
+        for line in _lines(batches, units):
+            sums += np.bincount(line[:-1] * side + line[1:], minlength=side * side)
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["pair", "n"])
 
@@ -125,6 +131,33 @@ def _weight(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
+def _best(table, after, before, own, old, classes) -> tuple[int, float]:
+    """Where a unit of class ``old`` raises the likelihood most, and by how much.
+
+    ``after`` and ``before`` count the classes around the unit, itself left out;
+    ``own`` counts it before itself; ``table`` is that of all other units.
+    """
+    here = np.arange(len(table))
+    some = np.flatnonzero(after)
+    rows = _weight(table[:, some] + after[some]) - _weight(table[:, some])
+    gain = rows.sum(axis=1)
+    gain[some] -= rows[some, np.arange(len(some))]
+    some = np.flatnonzero(before)
+    columns = _weight(table[some] + before[some, None]) - _weight(table[some])
+    gain += columns.sum(axis=0)
+    gain[some] -= columns[np.arange(len(some)), some]
+    # The corner is counted once.
+    corner = table[here, here]
+    gain += _weight(corner + after + before + own) - _weight(corner)
+    out, into = table.sum(axis=1) + before, table.sum(axis=0) + after
+    gain -= _weight(out + after.sum() + own) - _weight(out)
+    gain -= _weight(into + before.sum() + own) - _weight(into)
+    best = int(np.argmax(gain[:classes]))
+    if gain[best] <= gain[old] + 1e-9:
+        best = old
+    return best, float(gain[best] - gain[old])
+
+
 def exchange(bigrams: np.ndarray, classes: int, rounds: int) -> np.ndarray:
     """The class of each unit; the last unit, the edge, keeps a class of its own.
 
@@ -152,19 +185,7 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int) -> np.ndarray:
             table[old] -= after
             table[:, old] -= before
             table[old, old] -= own
-            # Gain of adding the unit to each class, the corner counted once.
-            rows = _weight(table + after) - _weight(table)
-            columns = _weight(table + before[:, None]) - _weight(table)
-            corner = np.diagonal(table)
-            both = _weight(corner + after + before + own) - _weight(corner)
-            gain = rows.sum(axis=1) - np.diagonal(rows) + columns.sum(axis=0)
-            gain += both - np.diagonal(columns)
-            out, into = table.sum(axis=1) + before, table.sum(axis=0) + after
-            gain -= _weight(out + after.sum() + own) - _weight(out)
-            gain -= _weight(into + before.sum() + own) - _weight(into)
-            best = int(np.argmax(gain[:classes]))
-            if gain[best] <= gain[old] + 1e-9:
-                best = old
+            best, _ = _best(table, after, before, own, old, classes)
             moved += best != old
             of[unit] = best
             table[best] += after
@@ -175,10 +196,122 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int) -> np.ndarray:
     return of
 
 
+def likelihood(table: np.ndarray) -> float:
+    """What of the log-likelihood of class bigrams depends on the classes."""
+    sides = _weight(table.sum(axis=0)).sum() + _weight(table.sum(axis=1)).sum()
+    return float(_weight(table).sum() - sides)
+
+
+def _lines(batches, units: Units):
+    """Units of the texts in a row, each between two edges, in spans of bounded size."""
+    edge = np.array([units.edge], np.int32)
+    for batch in batches:
+        bodies = [body or b"" for body in batch.column("body").to_pylist()]
+        for a, b in in_batches(bodies, 2_000_000):
+            parts = [edge]
+            for body in bodies[a:b]:
+                parts += [units.of(words(body)), edge]
+            yield np.concatenate(parts).astype(np.int64)
+
+
+def class_table(docs: DataFrame, own: list[bytes], endings: int, of: np.ndarray, text_col: str):
+    """Counts of class bigrams over all rows."""
+    total = int(of[-1]) + 1
+    shared = docs.sparkSession.sparkContext.broadcast((own, of))
+
+    def counted(batches):
+        head, classes_of = shared.value
+        sums = np.zeros(total * total, np.int64)
+        for line in _lines(batches, Units(head, endings)):
+            line = classes_of[line]
+            sums += np.bincount(line[:-1] * total + line[1:], minlength=total * total)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["pair", "n"])
+
+    rows = _texts(docs, text_col).mapInArrow(counted, "pair long, n long")
+    found = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(total * total)
+    table[found.column("pair").to_numpy()] = found.column("n").to_numpy()
+    return table.reshape(total, total)
+
+
+def best_moves(
+    docs: DataFrame,
+    own: list[bytes],
+    endings: int,
+    of: np.ndarray,
+    table: np.ndarray,
+    first: int,
+    text_col: str,
+) -> DataFrame:
+    """``unit``, the class ``best`` and the ``gain`` of each unit from ``first`` on
+    that gains by a move while all others stay."""
+    total = int(of[-1]) + 1
+    width, kept = 2 * total + 1, len(of) - 1 - first
+    shared = docs.sparkSession.sparkContext.broadcast((own, of, table))
+
+    def counted(batches):
+        head, classes_of, _ = shared.value
+        cells = np.zeros(kept * width, np.int64)
+        for line in _lines(batches, Units(head, endings)):
+            near, unit = classes_of[line], line - first
+            mine = (unit >= 0) & (unit < kept)
+            left, right = mine[:-1], mine[1:]
+            np.add.at(cells, unit[:-1][left] * width + near[1:][left], 1)
+            np.add.at(cells, unit[1:][right] * width + total + near[:-1][right], 1)
+            twice = left & (line[:-1] == line[1:])
+            np.add.at(cells, unit[:-1][twice] * width + 2 * total, 1)
+        every = np.flatnonzero(cells)
+        for low in range(0, len(every), 500_000):
+            at = every[low : low + 500_000]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array((at // width).astype(np.int32)),
+                    pa.array((at % width).astype(np.int32)),
+                    pa.array(cells[at]),
+                ],
+                names=["unit", "cell", "n"],
+            )
+
+    def decided(batches):
+        _, classes_of, table = shared.value
+        cells = np.zeros(kept * width, np.int64)
+        for batch in batches:
+            unit, cell, n = (batch.column(i).to_numpy() for i in range(3))
+            np.add.at(cells, unit.astype(np.int64) * width + cell, n)
+        cells = cells.reshape(kept, width)
+        rows = []
+        for unit in np.flatnonzero(cells.any(axis=1)):
+            old, said = int(classes_of[first + unit]), cells[unit].astype(float)
+            after, before, own_n = said[:total].copy(), said[total:-1].copy(), said[-1]
+            after[old] -= own_n
+            before[old] -= own_n
+            rest = table.copy()
+            rest[old] -= after
+            rest[:, old] -= before
+            rest[old, old] -= own_n
+            best, gain = _best(rest, after, before, own_n, old, total - 1)
+            if best != old:
+                rows.append((first + int(unit), best, gain))
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.float64()))],
+                names=["unit", "best", "gain"],
+            )
+
+    # A unit's counts, one row a task and cell, come together in one task.
+    return (
+        _texts(docs, text_col)
+        .mapInArrow(counted, "unit int, cell int, n long")
+        .repartition("unit")
+        .mapInArrow(decided, "unit int, best int, gain double")
+    )
+
+
 class Model(NamedTuple):
     """What tasks need: bounded by the parameters, not by the corpus."""
 
-    head: list[bytes]
+    head: list[bytes]  # words with a class of their own
     endings: int
     of: np.ndarray  # class of each unit
     moves: np.ndarray  # log10 P(class | class before)
@@ -197,30 +330,43 @@ def train(
     classes: int = CLASSES,
     rounds: int = ROUNDS,
     local: int = LOCAL,
+    sweeps: int = SWEEPS,
 ) -> tuple[Model, DataFrame]:
     """The model, and the stored counts of all words."""
     ship(docs.sparkSession)
     vocabulary = stored(count_words(docs, text_col), "vocabulary")
     ends = docs.count()
-    short = vocabulary.where(F.octet_length("word") <= WORD_BYTES)
     frequent = [
         (bytes(r["word"]), r["n"])
-        for r in short.orderBy(F.desc("n"), "word").limit(max(head, local)).collect()
+        for r in vocabulary.orderBy(F.desc("n"), "word").limit(max(head, local)).collect()
     ]
-    top = [word for word, _ in frequent[:head]]
-    bigrams = count_bigrams(docs, top, endings, text_col)
-    of = exchange(bigrams, classes, rounds)
+    own = [word for word, _ in frequent]
+    seeds = Units(own[:head], endings)
+    bigrams = count_bigrams(docs, own[:head], endings, text_col)
+    seeded = exchange(bigrams, classes, rounds)
     total = classes + 1
     table = np.zeros((total, total))
-    np.add.at(table, (of[:, None], of[None, :]), bigrams)
+    np.add.at(table, (seeded[:, None], seeded[None, :]), bigrams)
+    # Words past the head begin in the class of their ending.
+    of = np.concatenate([seeded[seeds.of(own)], seeded[len(own[:head]) :]])
+    for _ in range(sweeps):
+        found = best_moves(docs, own, endings, of, table, len(own[:head]), text_col).toArrow()
+        if not found.num_rows:
+            break
+        moved = of.copy()
+        moved[found.column("unit").to_numpy()] = found.column("best").to_numpy()
+        after = class_table(docs, own, endings, moved, text_col)
+        if likelihood(after) <= likelihood(table):
+            break
+        of, table = moved, after
     moves = np.log10(
         (table + MOVE_SMOOTHING) / (table.sum(axis=1, keepdims=True) + MOVE_SMOOTHING * total)
     )
     spark = docs.sparkSession
     known = spark.createDataFrame(
-        [(bytearray(word), i) for i, word in enumerate(top)], "word binary, unit int"
+        [(bytearray(word), i) for i, word in enumerate(own)], "word binary, unit int"
     )
-    ending = len(top) + F.crc32(F.substring("word", -3, 3)) % endings
+    ending = len(own) + F.crc32(F.substring("word", -3, 3)) % endings
     kinds_of = np.zeros(len(of), np.int64)
     per_unit = (
         vocabulary.join(F.broadcast(known), "word", "left")
@@ -229,13 +375,13 @@ def train(
     )
     for row in per_unit.collect():
         kinds_of[row["unit"]] = row["kinds"]
-    said = np.bincount(of, bigrams.sum(axis=0), total)
+    said = table.sum(axis=0)
     different = np.bincount(of, kinds_of, total)
     spread = np.log10(said + different + 1)
     totals = vocabulary.agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).first()
     return (
         Model(
-            top,
+            own,
             endings,
             of,
             moves,

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from driftline.llm import class_lm as lm
 
@@ -119,3 +120,53 @@ def test_nothing_to_learn_or_score(spark):
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (3, 0, 0, 0.0)
     assert math.isfinite(row.score)
     assert lm.score(empty, *trained).count() == 0
+
+
+def test_best_moves_are_those_of_all_trials(spark):
+    """Counts by sweep and gains, against the likelihood of each move tried."""
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 12)))) for i in range(60)]
+    docs = frame(spark, rows).repartition(4)
+    own, endings = [c.encode() for c in "abcdef"], 2
+    units = lm.Units(own, endings)
+    bigrams = lm.count_bigrams(docs, own, endings, "text")
+    of = np.array([i % 3 for i in range(len(own) + endings)] + [3])
+    table = np.zeros((4, 4))
+    np.add.at(table, (of[:, None], of[None, :]), bigrams)
+    assert np.array_equal(lm.class_table(docs, own, endings, of, "text"), table)
+    assert math.isclose(lm.likelihood(table), value(bigrams, of))
+    found = {r.unit: r for r in lm.best_moves(docs, own, endings, of, table, 2, "text").collect()}
+    for unit in range(2, units.edge):
+        trials = []
+        for to in range(3):
+            moved = of.copy()
+            moved[unit] = to
+            trials.append(value(bigrams, moved) - value(bigrams, of))
+        if max(trials) > 1e-6:
+            assert math.isclose(found[unit].gain, max(trials), rel_tol=1e-6)
+            assert math.isclose(trials[found[unit].best], max(trials), rel_tol=1e-6)
+        else:
+            assert unit not in found
+    assert not set(found) & {0, 1}
+
+
+def test_sweeps_raise_the_likelihood_and_give_words_their_own_class(spark):
+    rng = random.Random(0)
+    kinds = [[f"{c}{i}x" for i in range(8)] for c in "abc"]  # all of one ending
+    line = lambda: " ".join(rng.choice(kinds[i % 3]) for i in range(30))
+    docs = frame(spark, [(i, line()) for i in range(60)])
+    few = {**SMALL, "head": 6, "endings": 2, "local": 24}
+    values, scores = [], []
+    for sweeps in (0, 3):
+        model, vocabulary = lm.train(docs, **few, sweeps=sweeps)
+        values.append(lm.likelihood(lm.class_table(docs, model.head, 2, model.of, "text")))
+        scores.append(lm.score(docs, model, vocabulary).agg(F.sum("score")).first()[0])
+    assert values[1] > values[0] and scores[1] > scores[0]
+
+
+def test_long_words_are_counted_like_others(spark):
+    long = "=" * 5000
+    model, vocabulary = lm.train(frame(spark, [(1, f"{long} a {long}"), (2, long.upper())]), **SMALL)
+    assert model.head[0] == lm.words(long.encode())[0] and len(model.head[0]) == 33
+    (row,) = lm.score(frame(spark, [(1, long)]), model, vocabulary).collect()
+    assert (row.n_tokens, row.n_known) == (2, 2) and model.kinds == 3
