@@ -107,20 +107,61 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def count_bigrams(docs: DataFrame, head: list[bytes], endings: int, text_col: str) -> np.ndarray:
-    """Counts of unit bigrams, edges included, as a square table."""
-    side = len(head) + endings + 1
-    shared = docs.sparkSession.sparkContext.broadcast(head)
+def unit_lines(docs: DataFrame, own: list[bytes], endings: int, text_col: str) -> DataFrame:
+    """The texts as ``line``s of unit numbers, each text between two edges.
 
-    def counted(batches):
+    Words are looked up once here; every later count reads the numbers.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(own)
+
+    def looked_up(batches):
         units = Units(shared.value, endings)
+        edge, kind = np.array([units.edge], np.int32), _kind(units.edge)
+        for batch in batches:
+            bodies = [body or b"" for body in batch.column("body").to_pylist()]
+            lines = []
+            for a, b in in_batches(bodies, 2_000_000):
+                parts = [edge]
+                for body in bodies[a:b]:
+                    parts += [units.of(words(body)), edge]
+                lines.append(np.concatenate(parts).astype(kind).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], names=["line"])
+
+    return _texts(docs, text_col).mapInArrow(looked_up, "line binary")
+
+
+def _kind(edge: int) -> np.dtype:
+    return np.min_scalar_type(edge)
+
+
+def _lines(batches, edge: int):
+    for batch in batches:
+        for line in batch.column("line"):
+            yield np.frombuffer(line.as_buffer(), _kind(edge)).astype(np.int64)
+
+
+def count_bigrams(lines: DataFrame, to: np.ndarray) -> np.ndarray:
+    """Counts of bigrams as a square table, unit ``u`` counted as ``to[u]``.
+
+    The last unit, the edge, is counted in the last row and column.
+    """
+    side = int(to[-1]) + 1
+    shared = lines.sparkSession.sparkContext.broadcast(to)
+
+    def counted(batches):
+        to = shared.value
         sums = np.zeros(side * side, np.int64)
-        for line in _lines(batches, units):
-            sums += np.bincount(line[:-1] * side + line[1:], minlength=side * side)
+        for line in _lines(batches, len(to) - 1):
+            line = to[line]
+            pairs = line[:-1] * side + line[1:]
+            if len(pairs) > len(sums):
+                sums += np.bincount(pairs, minlength=side * side)
+            else:
+                np.add.at(sums, pairs, 1)
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["pair", "n"])
 
-    rows = _texts(docs, text_col).mapInArrow(counted, "pair long, n long")
+    rows = lines.mapInArrow(counted, "pair long, n long")
     table = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(side * side, np.int64)
     counts[table.column("pair").to_numpy()] = table.column("n").to_numpy()
@@ -202,58 +243,17 @@ def likelihood(table: np.ndarray) -> float:
     return float(_weight(table).sum() - sides)
 
 
-def _lines(batches, units: Units):
-    """Units of the texts in a row, each between two edges, in spans of bounded size."""
-    edge = np.array([units.edge], np.int32)
-    for batch in batches:
-        bodies = [body or b"" for body in batch.column("body").to_pylist()]
-        for a, b in in_batches(bodies, 2_000_000):
-            parts = [edge]
-            for body in bodies[a:b]:
-                parts += [units.of(words(body)), edge]
-            yield np.concatenate(parts).astype(np.int64)
-
-
-def class_table(docs: DataFrame, own: list[bytes], endings: int, of: np.ndarray, text_col: str):
-    """Counts of class bigrams over all rows."""
-    total = int(of[-1]) + 1
-    shared = docs.sparkSession.sparkContext.broadcast((own, of))
-
-    def counted(batches):
-        head, classes_of = shared.value
-        sums = np.zeros(total * total, np.int64)
-        for line in _lines(batches, Units(head, endings)):
-            line = classes_of[line]
-            sums += np.bincount(line[:-1] * total + line[1:], minlength=total * total)
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["pair", "n"])
-
-    rows = _texts(docs, text_col).mapInArrow(counted, "pair long, n long")
-    found = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(total * total)
-    table[found.column("pair").to_numpy()] = found.column("n").to_numpy()
-    return table.reshape(total, total)
-
-
-def best_moves(
-    docs: DataFrame,
-    own: list[bytes],
-    endings: int,
-    of: np.ndarray,
-    table: np.ndarray,
-    first: int,
-    text_col: str,
-) -> DataFrame:
+def best_moves(lines: DataFrame, of: np.ndarray, table: np.ndarray, first: int) -> DataFrame:
     """``unit``, the class ``best`` and the ``gain`` of each unit from ``first`` on
     that gains by a move while all others stay."""
     total = int(of[-1]) + 1
     width, kept = 2 * total + 1, len(of) - 1 - first
-    shared = docs.sparkSession.sparkContext.broadcast((own, of, table))
+    shared = lines.sparkSession.sparkContext.broadcast((of, table))
 
     def counted(batches):
-        head, classes_of, _ = shared.value
+        classes_of, _ = shared.value
         cells = np.zeros(kept * width, np.int64)
-        for line in _lines(batches, Units(head, endings)):
+        for line in _lines(batches, len(classes_of) - 1):
             near, unit = classes_of[line], line - first
             mine = (unit >= 0) & (unit < kept)
             left, right = mine[:-1], mine[1:]
@@ -274,7 +274,7 @@ def best_moves(
             )
 
     def decided(batches):
-        _, classes_of, table = shared.value
+        classes_of, table = shared.value
         cells = np.zeros(kept * width, np.int64)
         for batch in batches:
             unit, cell, n = (batch.column(i).to_numpy() for i in range(3))
@@ -286,7 +286,7 @@ def best_moves(
             after, before, own_n = said[:total].copy(), said[total:-1].copy(), said[-1]
             after[old] -= own_n
             before[old] -= own_n
-            rest = table.copy()
+            rest = table.astype(float)
             rest[old] -= after
             rest[:, old] -= before
             rest[old, old] -= own_n
@@ -301,8 +301,7 @@ def best_moves(
 
     # A unit's counts, one row a task and cell, come together in one task.
     return (
-        _texts(docs, text_col)
-        .mapInArrow(counted, "unit int, cell int, n long")
+        lines.mapInArrow(counted, "unit int, cell int, n long")
         .repartition("unit")
         .mapInArrow(decided, "unit int, best int, gain double")
     )
@@ -316,7 +315,7 @@ class Model(NamedTuple):
     of: np.ndarray  # class of each unit
     moves: np.ndarray  # log10 P(class | class before)
     spread: np.ndarray  # log10 of the emission denominator of each class
-    local: dict[bytes, float]  # log10(count + 1) of frequent words
+    local: np.ndarray  # log10(count + 1) of these words
     ends: int  # training rows
     tokens: int  # training tokens, ends included
     kinds: int  # distinct training tokens, the end included
@@ -341,21 +340,23 @@ def train(
         for r in vocabulary.orderBy(F.desc("n"), "word").limit(max(head, local)).collect()
     ]
     own = [word for word, _ in frequent]
+    lines = stored(unit_lines(docs, own, endings, text_col), "unit-lines")
+    # Words past the head begin in the group of their ending.
     seeds = Units(own[:head], endings)
-    bigrams = count_bigrams(docs, own[:head], endings, text_col)
+    seed_of = np.concatenate([seeds.of(own), np.arange(seeds.first, seeds.edge + 1)])
+    bigrams = count_bigrams(lines, seed_of)
     seeded = exchange(bigrams, classes, rounds)
     total = classes + 1
     table = np.zeros((total, total))
     np.add.at(table, (seeded[:, None], seeded[None, :]), bigrams)
-    # Words past the head begin in the class of their ending.
-    of = np.concatenate([seeded[seeds.of(own)], seeded[len(own[:head]) :]])
+    of = seeded[seed_of]
     for _ in range(sweeps):
-        found = best_moves(docs, own, endings, of, table, len(own[:head]), text_col).toArrow()
+        found = best_moves(lines, of, table, seeds.first).toArrow()
         if not found.num_rows:
             break
         moved = of.copy()
         moved[found.column("unit").to_numpy()] = found.column("best").to_numpy()
-        after = class_table(docs, own, endings, moved, text_col)
+        after = count_bigrams(lines, moved)
         if likelihood(after) <= likelihood(table):
             break
         of, table = moved, after
@@ -386,7 +387,7 @@ def train(
             of,
             moves,
             spread,
-            {word: float(np.log10(n + 1)) for word, n in frequent[:local]},
+            np.log10(np.array([n for _, n in frequent], float) + 1),
             ends,
             (totals["n"] or 0) + ends,
             totals["kinds"] + (ends > 0),
@@ -406,19 +407,20 @@ def _local_scores(docs: DataFrame, model: Model, id_col: str, text_col: str) ->
     def scored(batches):
         m = shared.value
         units, row = Units(m.head, m.endings), TaskContext.get().partitionId() << 33
-        edge, find = int(m.of[units.edge]), m.local.get
+        edge = int(m.of[units.edge])
         for batch in batches:
             bodies = [b or b"" for b in batch.column("body").to_pylist()]
             for a, b in in_batches(bodies, 2_000_000):
                 rows = []
                 for body in bodies[a:b]:
                     tokens = words(body)
-                    line = np.concatenate([[edge], m.of[units.of(tokens)], [edge]])
+                    line = units.of(tokens)
+                    other = np.flatnonzero(line >= units.first)
+                    rare = Counter(map(tokens.__getitem__, other.tolist()))
+                    known = len(tokens) - len(other)
+                    total = float(m.local[line[line < units.first]].sum())
+                    line = np.concatenate([[edge], m.of[line], [edge]])
                     context = m.moves[line[:-1], line[1:]].sum() - m.spread[line[1:-1]].sum()
-                    logs = list(map(find, tokens))
-                    rare = Counter(w for w, x in zip(tokens, logs) if x is None)
-                    known = len(tokens) - sum(rare.values())
-                    total = sum(x for x in logs if x is not None)
                     said = [{"word": w, "n": n} for w, n in rare.items()]
                     rows.append((row, len(tokens) + 1, known, total, float(context), said))
                     row += 1

@@ -129,13 +129,14 @@ def test_best_moves_are_those_of_all_trials(spark):
     docs = frame(spark, rows).repartition(4)
     own, endings = [c.encode() for c in "abcdef"], 2
     units = lm.Units(own, endings)
-    bigrams = lm.count_bigrams(docs, own, endings, "text")
+    lines = lm.unit_lines(docs, own, endings, "text")
+    bigrams = lm.count_bigrams(lines, np.arange(units.edge + 1))
     of = np.array([i % 3 for i in range(len(own) + endings)] + [3])
     table = np.zeros((4, 4))
     np.add.at(table, (of[:, None], of[None, :]), bigrams)
-    assert np.array_equal(lm.class_table(docs, own, endings, of, "text"), table)
+    assert np.array_equal(lm.count_bigrams(lines, of), table)
     assert math.isclose(lm.likelihood(table), value(bigrams, of))
-    found = {r.unit: r for r in lm.best_moves(docs, own, endings, of, table, 2, "text").collect()}
+    found = {r.unit: r for r in lm.best_moves(lines, of, table, 2).collect()}
     for unit in range(2, units.edge):
         trials = []
         for to in range(3):
@@ -159,7 +160,8 @@ def test_sweeps_raise_the_likelihood_and_give_words_their_own_class(spark):
     values, scores = [], []
     for sweeps in (0, 3):
         model, vocabulary = lm.train(docs, **few, sweeps=sweeps)
-        values.append(lm.likelihood(lm.class_table(docs, model.head, 2, model.of, "text")))
+        lines = lm.unit_lines(docs, model.head, 2, "text")
+        values.append(lm.likelihood(lm.count_bigrams(lines, model.of)))
         scores.append(lm.score(docs, model, vocabulary).agg(F.sum("score")).first()[0])
     assert values[1] > values[0] and scores[1] > scores[0]
 
