@@ -8,7 +8,7 @@ P(class | class before) * P(word | class), over its words and one end.
 Exchange has two steps. First the ``head`` most frequent words, each on its own, and
 for all other words the groups of those with the same hashed ending are exchanged one
 by one; their bigrams are a table bounded by the number of units, so this runs on the
-driver. Then each of the ``local`` most frequent words gets a class of its own: whole
+driver. Then each word past the head, of the ``local`` most frequent, gets its own class: whole
 sweeps over the corpus count the classes before and after each word, tasks find the
 class that gains most for every word, and all move at once. A sweep is kept only if
 the likelihood of the whole corpus rises; ``sweeps`` bounds their number, and they end
