@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from driftline.functions import text as tx
 from driftline.operators.revisions import assemble, known_ids, metadata_times, revision_id
-from driftline.operators.scale import BROADCAST_BYTES, fits_broadcast, skew_join
+from driftline.operators.scale import (
+    BROADCAST_BYTES,
+    bit_is_set,
+    bit_maps,
+    fits_broadcast,
+    skew_join,
+)
 from driftline.session import written
 
 # Fixed value: the frequency of a word that has none.
@@ -166,11 +172,21 @@ def _tally_words(content: DataFrame, by: Sequence[str], each: bool = False) -> D
     )
 
 
-def _with_id(content: DataFrame, ids: DataFrame) -> DataFrame:
-    """Content of the revisions in ``ids``, which is broadcast."""
+def _with_id(content: DataFrame, ids: DataFrame, max_bytes: int) -> DataFrame | None:
+    """Content of the revisions in ``ids`` if these can be broadcast, else None.
+
+    Ids that are too many for a list are broadcast as bit maps, an eighth of a byte
+    each where they lie close together, as counted ids do.
+    """
     keyed = content.withColumn("_id", revision_id())
-    few = F.broadcast(ids.select(F.col("id").alias("_id")))
-    return keyed.join(few, "_id", "left_semi").drop("_id")
+    if fits_broadcast(ids, max_bytes):
+        few = F.broadcast(ids.select(F.col("id").alias("_id")))
+        return keyed.join(few, "_id", "left_semi").drop("_id")
+    maps = bit_maps(ids, "id", max_bytes)
+    if maps is None:
+        return None
+    found = F.col("_map") == F.bitmap_bucket_number("_id")
+    return keyed.join(F.broadcast(maps), found & bit_is_set("_id"), "left_semi").drop("_id")
 
 
 def _tally_known(
@@ -178,15 +194,17 @@ def _tally_known(
 ) -> DataFrame:
     """The tally of revisions that have metadata, or of all if ``meta`` is None.
 
-    Ids that may be broadcast sort out the texts where they are read. Beyond that
-    words are counted per revision first and the counts meet the ids, so text is not
-    moved either way. A revision's distinct words are bounded by its text.
+    Ids that may be broadcast, listed or as bit maps, sort out the texts where they
+    are read. Beyond that words are counted per revision first and the counts meet the
+    ids, so text is not moved either way. A revision's distinct words are bounded by
+    its text.
     """
     if meta is None:
         return _tally_words(content, by)
     ids = known_ids(meta)
-    if fits_broadcast(ids, max_bytes):
-        return _tally_words(_with_id(content, ids), by)
+    known = _with_id(content, ids, max_bytes)
+    if known is not None:
+        return _tally_words(known, by)
     return _tally_words(content, by, each=True).join(ids.hint("merge"), "id", "left_semi")
 
 
@@ -254,8 +272,9 @@ def uncommonness(
     ``meta`` only revisions that have metadata are scored.
     """
     ids = None if meta is None else known_ids(meta)
-    if ids is not None and fits_broadcast(ids, max_bytes):
-        content, ids = _with_id(content, ids), None
+    if ids is not None:
+        kept = _with_id(content, ids, max_bytes)
+        content, ids = (content, ids) if kept is None else (kept, None)
     words = _words(content, tx.unicode_words(F.col("text")))
     known = _looked_up(words, frequencies.select("word", "freq"), "id", max_bytes)
     real = F.col("word") != ""

@@ -17,6 +17,9 @@ from driftline.session import written
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000
 ROWS_PER_TASK = 2_000_000
+# Numbers that one of Spark's bit maps covers, and its bytes with its row.
+MAP_NUMBERS = 32_768
+MAP_BYTES = MAP_NUMBERS // 8 + 64
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -44,6 +47,27 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= max_bytes
 
 
+def bit_maps(df: DataFrame, number: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
+    """``_map, _bits``: the numbers of a long column, a bit each; written.
+
+    None if they lie so far apart that their maps take more than ``max_bytes``.
+    """
+    named = df.select(F.bitmap_bucket_number(number).alias("_map"), F.col(number)).where(
+        F.col(number).isNotNull()
+    )
+    if named.select("_map").distinct().count() * MAP_BYTES > max_bytes:
+        return None
+    at = F.bitmap_bit_position(number)
+    return written(named.groupBy("_map").agg(F.bitmap_construct_agg(at).alias("_bits")))
+
+
+def bit_is_set(number: str) -> Column:
+    """Whether the number's bit is set in ``_bits``, the map of its bucket."""
+    at = F.bitmap_bit_position(number)
+    byte = F.hex(F.substring("_bits", (at / 8).cast("int") + 1, 1))
+    return F.bit_get(F.conv(byte, 16, 10).cast("int"), (at % 8).cast("int")) == 1
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,

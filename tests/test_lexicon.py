@@ -138,6 +138,20 @@ def test_counting_never_shuffles_text(spark, content, meta, max_bytes):
         assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
 
+def test_many_close_ids_sort_out_texts_where_they_are_read(spark, content):
+    """Ids whose list is too large to broadcast but whose bit maps are not."""
+    meta = spark.range(1, 20_000).select("id", F.lit("2022-01-01").cast("timestamp_ntz").alias("timestamp"))
+    few = 1 << 18
+    freq = spark.createDataFrame([("ai", 0.5)], "word string, freq double")
+    for df, want in (
+        (lexicon.word_counts(content, meta, few), lexicon.word_counts(content, meta)),
+        (lexicon.word_counts_by_title(content, meta, few), lexicon.word_counts_by_title(content, meta)),
+        (lexicon.uncommonness(content, freq, meta, few), lexicon.uncommonness(content, freq, meta)),
+    ):
+        assert "SortMergeJoin" not in df._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
 def test_pieces_without_a_place(spark):
     df = spark.createDataFrame([("1", "t", None, t) for t in ("a b", "c d", "x")], CONTENT)
     got = {r["word"]: r["count"] for r in lexicon.word_counts(df).collect()}

@@ -95,3 +95,16 @@ def test_look_back_in_blocks(ordered, rows, group, size):
 def test_blocks_are_bounded(ordered):
     placed, keys = scale.in_blocks(ordered, ["g"], [F.asc("t")], 2, rows_per_task=20)
     assert scale.largest_group(placed, keys) <= 22
+
+
+def test_bit_maps(spark):
+    """Every number is found and no other, also at the edges of maps and of longs."""
+    edges = [-(1 << 63), -32769, -32768, -32767, -1, 0, 1, 7, 8, 32767, 32768, 32769, (1 << 63) - 1]
+    listed = spark.createDataFrame([(n,) for n in edges[::2]] + [(None,), (0,)], "n long")
+    maps = scale.bit_maps(listed, "n")
+    probes = sorted({max(-(1 << 63), min((1 << 63) - 1, e + d)) for e in edges for d in (-1, 0, 1)})
+    asked = spark.createDataFrame([(n,) for n in probes] + [(None,)], "k long")
+    found = (F.col("_map") == F.bitmap_bucket_number("k")) & scale.bit_is_set("k")
+    got = asked.join(F.broadcast(maps), found, "left_semi").collect()
+    assert sorted(r["k"] for r in got) == sorted({0, *edges[::2]})
+    assert scale.bit_maps(listed, "n", 4096) is None
