@@ -186,7 +186,8 @@ def _with_id(content: DataFrame, ids: DataFrame, max_bytes: int) -> DataFrame |
     if maps is None:
         return None
     found = F.col("_map") == F.bitmap_bucket_number("_id")
-    return keyed.join(F.broadcast(maps), found & bit_is_set("_id"), "left_semi").drop("_id")
+    found = found & bit_is_set(F.bitmap_bit_position("_id"))
+    return keyed.join(F.broadcast(maps), found, "left_semi").drop("_id")
 
 
 def _tally_known(

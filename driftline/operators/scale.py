@@ -61,13 +61,39 @@ def bit_maps(df: DataFrame, number: str, max_bytes: int = BROADCAST_BYTES) -> Da
     return written(named.groupBy("_map").agg(F.bitmap_construct_agg(at).alias("_bits")))
 
 
-def bit_is_set(number: str) -> Column:
-    """Whether the number's bit is set in ``_bits``, the map of its bucket."""
-    at = F.bitmap_bit_position(number)
+def bit_is_set(at: Column) -> Column:
+    """Whether ``_bits`` has the bit at that place."""
     byte = F.hex(F.substring("_bits", (at / 8).cast("int") + 1, 1))
     return F.bit_get(F.conv(byte, 16, 10).cast("int"), (at % 8).cast("int")) == 1
 
 
+def sifted(
+    rows: DataFrame, listed: DataFrame, h: str, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame | None:
+    """Rows whose hash ``h`` is listed, and a few others, by a broadcast Bloom filter.
+
+    For lists too long to broadcast: a hash takes 32 bits, fewer if ``max_bytes`` does
+    not allow them, and has four of them set. A hash that is listed is never lost; the
+    caller has to tell the others. None if not even one map may be broadcast.
+    """
+    allowed = max_bytes // MAP_BYTES
+    if allowed == 0:
+        return None
+    maps = min(allowed, listed.count() * 32 // MAP_NUMBERS + 1)
+    home = F.pmod(F.xxhash64(F.lit(maps), F.col(h)), F.lit(maps))
+    mixed = F.xxhash64(h)
+    places = [F.shiftright(mixed, 15 * i).bitwiseAND(F.lit(MAP_NUMBERS - 1)) for i in range(4)]
+    bits = written(
+        listed.select(home.alias("_map"), F.explode(F.array(*places)).alias("_at"))
+        .groupBy("_map")
+        .agg(F.bitmap_construct_agg("_at").alias("_bits"))
+    )
+    hit = home == F.col("_map")
+    for at in places:
+        hit = hit & bit_is_set(at)
+    return rows.join(F.broadcast(bits), hit, "left_semi")
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,

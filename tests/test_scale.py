@@ -104,7 +104,18 @@ def test_bit_maps(spark):
     maps = scale.bit_maps(listed, "n")
     probes = sorted({max(-(1 << 63), min((1 << 63) - 1, e + d)) for e in edges for d in (-1, 0, 1)})
     asked = spark.createDataFrame([(n,) for n in probes] + [(None,)], "k long")
-    found = (F.col("_map") == F.bitmap_bucket_number("k")) & scale.bit_is_set("k")
+    found = (F.col("_map") == F.bitmap_bucket_number("k")) & scale.bit_is_set(F.bitmap_bit_position("k"))
     got = asked.join(F.broadcast(maps), found, "left_semi").collect()
     assert sorted(r["k"] for r in got) == sorted({0, *edges[::2]})
     assert scale.bit_maps(listed, "n", 4096) is None
+
+
+def test_sifted(spark):
+    """No listed hash is lost, few others stay, also with fewer bits than wanted."""
+    listed = spark.range(20_000).select(F.xxhash64("id").alias("h"))
+    rows = spark.range(100_000).select("id", F.xxhash64("id").alias("h"))
+    for max_bytes, most in ((1 << 26, 100), (1 << 14, 40_000)):
+        got = scale.sifted(rows, listed, "h", max_bytes)
+        assert got.where("id < 20000").count() == 20_000
+        assert got.where("id >= 20000").count() < most
+    assert scale.sifted(rows, listed, "h", 4096) is None
