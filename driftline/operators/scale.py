@@ -20,6 +20,7 @@ ROWS_PER_TASK = 2_000_000
 # Numbers that one of Spark's bit maps covers, and its bytes with its row.
 MAP_NUMBERS = 32_768
 MAP_BYTES = MAP_NUMBERS // 8 + 64
+WORD_BITS = 64
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -83,14 +84,24 @@ def sifted(
     home = F.pmod(F.xxhash64(F.lit(maps), F.col(h)), F.lit(maps))
     mixed = F.xxhash64(h)
     places = [F.shiftright(mixed, 15 * i).bitwiseAND(F.lit(MAP_NUMBERS - 1)) for i in range(4)]
+    # Words of 64 bits: a row each until they are put together, so that no task sends
+    # whole maps, and in an array, which is looked into without being copied.
+    laid = listed.select(home.alias("_map"), F.explode(F.array(*places)).alias("_at"))
+    single = F.expr(f"shiftleft(1L, cast(_at & {WORD_BITS - 1} AS int))")
+    words = laid.groupBy("_map", F.shiftright("_at", 6).cast("int").alias("_i")).agg(
+        F.bit_or(single).alias("_w")
+    )
+    told = F.map_from_entries(F.collect_list(F.struct("_i", "_w")))
+    every = F.sequence(F.lit(0), F.lit(MAP_NUMBERS // WORD_BITS - 1))
+    zero = F.lit(0).cast("long")
     bits = written(
-        listed.select(home.alias("_map"), F.explode(F.array(*places)).alias("_at"))
-        .groupBy("_map")
-        .agg(F.bitmap_construct_agg("_at").alias("_bits"))
+        words.groupBy("_map").agg(told.alias("_told"))
+        .select("_map", F.transform(every, lambda i: F.coalesce(F.col("_told")[i], zero)).alias("_words"))
     )
     hit = home == F.col("_map")
     for at in places:
-        hit = hit & bit_is_set(at)
+        word = F.get("_words", F.shiftright(at, 6).cast("int"))
+        hit = hit & (F.bit_get(word, at.bitwiseAND(F.lit(WORD_BITS - 1)).cast("int")) == 1)
     return rows.join(F.broadcast(bits), hit, "left_semi")
 
 
