@@ -88,15 +88,21 @@ def sifted(
     # whole maps, and in an array, which is looked into without being copied.
     laid = listed.select(home.alias("_map"), F.explode(F.array(*places)).alias("_at"))
     single = F.expr(f"shiftleft(1L, cast(_at & {WORD_BITS - 1} AS int))")
-    words = laid.groupBy("_map", F.shiftright("_at", 6).cast("int").alias("_i")).agg(
-        F.bit_or(single).alias("_w")
+    each = MAP_NUMBERS // WORD_BITS
+    blank = listed.sparkSession.range(maps * each).select(
+        F.floor(F.col("id") / each).cast("long").alias("_map"),
+        (F.col("id") % each).cast("int").alias("_i"),
+        F.lit(0).cast("long").alias("_w"),
     )
-    told = F.map_from_entries(F.collect_list(F.struct("_i", "_w")))
-    every = F.sequence(F.lit(0), F.lit(MAP_NUMBERS // WORD_BITS - 1))
-    zero = F.lit(0).cast("long")
+    words = (
+        laid.select("_map", F.shiftright("_at", 6).cast("int").alias("_i"), single.alias("_w"))
+        .unionByName(blank)
+        .groupBy("_map", "_i")
+        .agg(F.bit_or("_w").alias("_w"))
+    )
+    inside = F.sort_array(F.collect_list(F.struct("_i", "_w")))
     bits = written(
-        words.groupBy("_map").agg(told.alias("_told"))
-        .select("_map", F.transform(every, lambda i: F.coalesce(F.col("_told")[i], zero)).alias("_words"))
+        words.groupBy("_map").agg(F.transform(inside, lambda e: e["_w"]).alias("_words"))
     )
     hit = home == F.col("_map")
     for at in places:
