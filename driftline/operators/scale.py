@@ -120,6 +120,7 @@ def skew_join(
     hot_rows: int = HOT_ROWS,
     max_bytes: int = BROADCAST_BYTES,
     count_from: DataFrame | None = None,
+    uses: str | None = None,
 ) -> DataFrame:
     """Shuffle join whose hot left keys are split over tasks.
 
@@ -129,14 +130,17 @@ def skew_join(
     measured size allows and shuffled otherwise. ``spread_by`` names left columns
     that tell the rows of one key apart; the salt is a hash of them, so a re-run
     task routes its rows the same way. Keys are counted on ``count_from`` where
-    that has the same keys as ``left`` and is cheaper to compute.
+    that has the same keys as ``left`` and is cheaper to compute, or not at all where
+    the column ``uses`` of ``right`` (one row a key) tells how many left rows each has.
     """
     on = list(on)
+    if uses is None:
+        counts = left if count_from is None else count_from
+        counts = counts.groupBy(*on).agg(F.count("*").alias("_n"))
+    else:
+        counts = right.select(*on, F.col(uses).alias("_n"))
     hot = written(
-        (left if count_from is None else count_from)
-        .groupBy(*on)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") >= hot_rows)
+        counts.where(F.col("_n") >= hot_rows)
         .select(*on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts"))
     )
     listed = F.broadcast(hot) if fits_broadcast(hot, max_bytes) else hot.hint("merge")
@@ -170,12 +174,13 @@ def lookup_join(
     spread_by: Sequence[str],
     max_bytes: int = BROADCAST_BYTES,
     count_from: DataFrame | None = None,
+    uses: str | None = None,
 ) -> DataFrame:
     """Join to a dictionary-like table: broadcast if its measured size allows."""
     on = list(on)
     if fits_broadcast(lookup, max_bytes):
         return left.join(F.broadcast(lookup), on, how)
-    return skew_join(left, lookup, on, how, spread_by, count_from=count_from)
+    return skew_join(left, lookup, on, how, spread_by, count_from=count_from, uses=uses)
 
 
 def largest_group(df: DataFrame, group: Sequence[str]) -> int:

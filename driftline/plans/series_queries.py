@@ -607,14 +607,13 @@ def sliding_chunks(spark, sf_dir):
     return chunks.withColumn("tokens", F.array_join("tokens", " "))
 
 
-def _model(spark, sf_dir):
-    tokens = perplexity.tokens_of(ad.documents(spark, sf_dir), "doc_id")
-    return perplexity.ngram_model(tokens)
+def _training(spark, sf_dir):
+    return perplexity.tokens_of(ad.documents(spark, sf_dir), "doc_id")
 
 
 @query("ngram_model", f"WITH {MODEL} SELECT previous, word, n FROM model")
 def ngram_model(spark, sf_dir):
-    return _model(spark, sf_dir)
+    return perplexity.ngram_model(_training(spark, sf_dir))
 
 
 @query(
@@ -642,19 +641,16 @@ SELECT doc, count(*) AS scored, round(exp(sum(l) / count(*)), 4) AS perplexity
 FROM l GROUP BY doc""",
 )
 def kneser_ney_perplexity(spark, sf_dir):
-    fitted = perplexity.kneser_ney(_model(spark, sf_dir))
-    losses = perplexity.kneser_ney_losses(ad.turn_tokens(spark, sf_dir), fitted, "doc")
+    turns, training = ad.turn_tokens(spark, sf_dir), _training(spark, sf_dir)
+    losses = perplexity.trained_kneser_ney_losses(turns, training, "doc")
     return losses.select(
         "doc", "scored", F.round(F.exp(F.col("loss") / F.col("scored")), 4).alias("perplexity")
     )
 
 
 def _perplexity(spark, sf_dir, max_length, stride, weighted=False):
-    # The fitted model is read several times, so it is written once.
-    model = written(_model(spark, sf_dir))
-    totals = written(perplexity.word_totals(model))
-    turns = ad.turn_tokens(spark, sf_dir)
-    losses = perplexity.window_losses(turns, model, "doc", max_length, stride, totals=totals)
+    turns, training = ad.turn_tokens(spark, sf_dir), _training(spark, sf_dir)
+    losses = perplexity.trained_window_losses(turns, training, "doc", max_length, stride)
     scored = perplexity.perplexity(losses, "doc", weighted, turns)
     return scored.withColumn("perplexity", F.round("perplexity", 4))
 
