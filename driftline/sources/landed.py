@@ -6,6 +6,8 @@ with a declared schema and flattened row by row, without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +27,19 @@ CSV_FORM = {"nullValue": r"\N", "escape": '"'}
 
 def _unescaped(name: Column) -> Column:
     """Percent escapes undone; a name that has no valid ones stays as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+    decoded = F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+    return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
+
+
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _before(name: Column, suffix: str) -> Column:
+    """The name without ``suffix``, empty if it doesn't end in it."""
+    rest = F.substring(name, F.lit(1), F.length(name) - len(suffix))
+    return F.when(~name.endswith(suffix), "").otherwise(rest)
 
 
 def title_of(file_path: Column, suffix: str = META_SUFFIX) -> Column:
@@ -34,14 +48,22 @@ def title_of(file_path: Column, suffix: str = META_SUFFIX) -> Column:
     ``file_path`` is that of ``_metadata``, a URI. The name is cut out first and
     unescaped then, so that a title may hold slashes and percent signs. A
     partition folder, ``column=title``, is escaped once more by its writer.
+    Cut at slashes, as this is done for every row: a pattern that looks for the name
+    takes time that grows with the square of its length.
     """
-    quoted = suffix.replace(".", r"\.")
-    as_file = F.regexp_extract(file_path, rf"([^/]+){quoted}$", 1)
-    as_folder = F.regexp_extract(file_path, rf"([^/]+){quoted}/[^/]*$", 1)
-    folder = _unescaped(as_folder)
-    value = F.regexp_extract(folder, r"^[A-Za-z_]\w*=(.*)$", 1)
-    named = F.when(value != "", _unescaped(value)).otherwise(folder)
-    return F.when(as_file != "", _unescaped(as_file)).otherwise(named)
+
+    def of_folder(name: Column) -> Column:
+        value = F.regexp_extract(name, r"^[A-Za-z_]\w*=(.*)$", 1)
+        return _once(value, lambda v: F.when(v != "", _unescaped(v)).otherwise(name))
+
+    def of_parts(parts: Column) -> Column:
+        # A path without a folder has one part, which is tried again.
+        folder = F.coalesce(F.try_element_at(parts, F.lit(-2)), F.element_at(parts, 1))
+        named = _once(_before(folder, suffix), lambda name: _once(_unescaped(name), of_folder))
+        as_file = _before(F.element_at(parts, -1), suffix)
+        return _once(as_file, lambda name: F.when(name != "", _unescaped(name)).otherwise(named))
+
+    return _once(F.split(file_path, "/"), of_parts)
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:

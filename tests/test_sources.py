@@ -2,6 +2,7 @@ import json
 import os
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -277,3 +278,22 @@ def test_title_list_as_json(spark, tmp_path, parts):
     assert Counter(r.title for r in landed.read_json_list(spark, path).collect()) == Counter(told)
     sinks.write_json_list(df.limit(0), "title", path)
     assert landed.read_json_list(spark, path).count() == 0
+
+
+def test_titles_of_long_paths_take_time_by_their_length(spark):
+    ending = landed.META_SUFFIX
+    want = {
+        f"file:/a/x{ending}": "x",
+        f"file:/a/file=x%2520y+z{ending}/part-0.json": "x y+z",
+        f"file:/a/100%{ending}/part-0.json": "100%",
+        f"file:/q{ending}/r{ending}/s": "r",
+        f"a/{ending}/p": "",
+        "a": "",
+        "file:/" + "b" * 30_000 + "/" + "c" * 30_000: "",
+    }
+    paths = spark.createDataFrame([(p,) for p in want] + [(None,)], "p string")
+    many = paths.crossJoin(spark.range(20)).select("p", landed.title_of(F.col("p")).alias("t"))
+    begun = time.monotonic()
+    got = many.distinct().collect()
+    assert {r["p"]: r["t"] for r in got} == {**want, None: None}
+    assert time.monotonic() - begun < 20
