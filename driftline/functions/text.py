@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 # Characters at which a white-space split without a separator cuts.
 ANY_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
+# Longest run whose words are named one by one.
+NAMED_WORDS = 8
 # Category markup in article text.
 CATEGORY_LINK = r"\[\[Category:([^\]|\n]+)"
 
@@ -55,9 +57,19 @@ def word_sequences(words: Column, n: int) -> Column:
 
     ``words`` is looked at for every run, so it should be a plain column.
     """
-    places = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-    runs = F.transform(places, lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.coalesce(runs, F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    if n == 1:
+        return F.coalesce(words, none)
+    if n > NAMED_WORDS:
+        places = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
+        runs = F.transform(places, lambda i: F.array_join(F.slice(words, i, n), " "))
+    else:
+        # Words of short runs are named one by one, which takes a fifth of the time.
+        heads = F.slice(words, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0)))
+        runs = F.transform(
+            heads, lambda w, i: F.concat_ws(" ", w, *[F.get(words, i + k) for k in range(1, n)])
+        )
+    return F.coalesce(runs, none)
 
 
 def punctuated(text: Column) -> Column:

@@ -101,3 +101,16 @@ def test_dates(spark):
     assert str(column(spark, ["2022113000", "bad"], dt.stamp_to_date)[0]) == "2022-11-30"
     assert column(spark, ["2022113000", "bad"], dt.stamp_to_date)[1] is None
     assert column(spark, ["1.5", "x"], dt.numeric) == [1.5, None]
+
+
+def test_word_sequences_are_runs_of_words(spark):
+    """Short and long runs alike; only long ones are cut out of the words each time."""
+    data = [(["a"] * k + ["b", "c"],) for k in (0, 1, 7, 12)] + [([],), (None,)]
+    df = spark.createDataFrame(data, "w array<string>")
+    for n in (1, 2, 3, tx.NAMED_WORDS, tx.NAMED_WORDS + 1):
+        got = df.select("w", tx.word_sequences(F.col("w"), n).alias("g"))
+        for r in got.collect():
+            w = r["w"] or []
+            assert r["g"] == [" ".join(w[i : i + n]) for i in range(len(w) - n + 1)]
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("array_join" in plan) == (n > tx.NAMED_WORDS)
