@@ -19,6 +19,7 @@ from driftline.operators.scale import (
     bit_is_set,
     bit_maps,
     fits_broadcast,
+    sifted,
     skew_join,
 )
 from driftline.session import written
@@ -176,18 +177,29 @@ def _with_id(content: DataFrame, ids: DataFrame, max_bytes: int) -> DataFrame |
     """Content of the revisions in ``ids`` if these can be broadcast, else None.
 
     Ids that are too many for a list are broadcast as bit maps, an eighth of a byte
-    each where they lie close together, as counted ids do.
+    each where they lie close together, as counted ids do. Ids that lie far apart make
+    a Bloom filter; the few ids of ``content`` that it takes for known ones are found
+    by a join of ids alone, and listed.
     """
     keyed = content.withColumn("_id", revision_id())
     if fits_broadcast(ids, max_bytes):
         few = F.broadcast(ids.select(F.col("id").alias("_id")))
         return keyed.join(few, "_id", "left_semi").drop("_id")
     maps = bit_maps(ids, "id", max_bytes)
-    if maps is None:
+    if maps is not None:
+        found = F.col("_map") == F.bitmap_bucket_number("_id")
+        found = found & bit_is_set(F.bitmap_bit_position("_id"))
+        return keyed.join(F.broadcast(maps), found, "left_semi").drop("_id")
+    named = ids.select(F.col("id").alias("_id"))
+    # A null has a hash too.
+    passed = sifted(keyed.where("_id IS NOT NULL"), named, "_id", max_bytes)
+    if passed is None:
         return None
-    found = F.col("_map") == F.bitmap_bucket_number("_id")
-    found = found & bit_is_set(F.bitmap_bit_position("_id"))
-    return keyed.join(F.broadcast(maps), found, "left_semi").drop("_id")
+    wrong = passed.select("_id").distinct().join(named.hint("merge"), "_id", "left_anti")
+    wrong = written(wrong)
+    if not fits_broadcast(wrong, max_bytes):
+        return None
+    return passed.join(F.broadcast(wrong), "_id", "left_anti").drop("_id")
 
 
 def _tally_known(
@@ -195,8 +207,8 @@ def _tally_known(
 ) -> DataFrame:
     """The tally of revisions that have metadata, or of all if ``meta`` is None.
 
-    Ids that may be broadcast, listed or as bit maps, sort out the texts where they
-    are read. Beyond that words are counted per revision first and the counts meet the
+    Ids that may be broadcast, listed, as bit maps or as a Bloom filter, sort out the
+    texts where they are read. Beyond that words are counted per revision first and the counts meet the
     ids, so text is not moved either way. A revision's distinct words are bounded by
     its text.
     """

@@ -152,6 +152,24 @@ def test_many_close_ids_sort_out_texts_where_they_are_read(spark, content):
         assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
 
+@pytest.mark.parametrize("few", [1 << 18, 1 << 13])
+def test_many_far_ids_sort_out_texts_where_they_are_read(spark, few):
+    """Ids too many for a list and too far apart for bit maps; with the smaller limit
+    the Bloom filter lets ids through that are not known."""
+    pieces = [(str(i), f"t{i % 3}", p, f"w{i} a") for i in range(200) for p in range(2)]
+    content = spark.createDataFrame([*pieces, ("x", "t", 0, "y"), (None, "t", 0, "z")], CONTENT)
+    far = F.when(F.col("id") < 100, F.col("id") * 2).otherwise(F.col("id") * 1_000_003)
+    meta = spark.range(20_000).select(far.alias("id"), F.lit("2022-01-01").cast("timestamp_ntz").alias("timestamp"))
+    freq = spark.createDataFrame([("a", 0.5)], "word string, freq double")
+    for df, want in (
+        (lexicon.word_counts(content, meta, few), lexicon.word_counts(content, meta)),
+        (lexicon.word_counts_by_title(content, meta, few), lexicon.word_counts_by_title(content, meta)),
+        (lexicon.uncommonness(content, freq, meta, few), lexicon.uncommonness(content, freq, meta)),
+    ):
+        assert "SortMergeJoin" not in df._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
 def test_pieces_without_a_place(spark):
     df = spark.createDataFrame([("1", "t", None, t) for t in ("a b", "c d", "x")], CONTENT)
     got = {r["word"]: r["count"] for r in lexicon.word_counts(df).collect()}
