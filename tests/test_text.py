@@ -114,3 +114,13 @@ def test_word_sequences_are_runs_of_words(spark):
             assert r["g"] == [" ".join(w[i : i + n]) for i in range(len(w) - n + 1)]
         plan = got._jdf.queryExecution().optimizedPlan().toString()
         assert ("array_join" in plan) == (n > tx.NAMED_WORDS)
+
+
+def test_any_space_is_every_white_space_and_nothing_else(spark):
+    """The quick test for printable ASCII must not change what counts as a space."""
+    spaces = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]
+    spaces += [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+    code = spark.range(0x110000).where("id NOT BETWEEN 55296 AND 57343")
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    found = code.where(char.rlike(r"\A" + tx.ANY_SPACE + r"\z"))
+    assert sorted(r["id"] for r in found.collect()) == spaces
