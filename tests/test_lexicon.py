@@ -152,6 +152,33 @@ def test_many_close_ids_sort_out_texts_where_they_are_read(spark, content):
         assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
 
+def shuffled_rows(df):
+    """Rows that the shuffles of a frame wrote when it ran."""
+    df.collect()
+    plans, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            plan = plan.executedPlan()
+        if "QueryStage" in plan.nodeName():
+            plan = plan.plan()
+        if plan.nodeName() == "Exchange":
+            rows += plan.metrics().apply("shuffleRecordsWritten").value()
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return rows
+
+
+def test_words_by_title_are_summed_over_revisions_before_they_move(spark):
+    """With too many ids for a list, equal words of one title are one row of a task."""
+    pieces = [(str(i), "t", 0, " ".join(f"w{k}" for k in range(20))) for i in range(1, 501)]
+    content = spark.createDataFrame(pieces, CONTENT)
+    meta = spark.range(1, 20_000).select("id", F.lit("2022-01-01").cast("timestamp_ntz").alias("timestamp"))
+    counts = lexicon.word_counts_by_title(content, meta, 1 << 18)
+    # 20 words a task and 500 rows for edges; with a row for each revision it would be 10,500 and more.
+    assert 520 <= shuffled_rows(counts) < 1_500
+    assert {r["count"] for r in counts.collect()} == {500}
+
+
 @pytest.mark.parametrize("few", [1 << 18, 1 << 13])
 def test_many_far_ids_sort_out_texts_where_they_are_read(spark, few):
     """Ids too many for a list and too far apart for bit maps; with the smaller limit
